@@ -9,7 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
 from textlens.operators.search import search
+from textlens.operators.spelling import check_queries, extend_dictionary, fallback_dictionary, suggest
+from textlens.functions.text import query_word, split_ws
+from textlens.operators.validate import validate_queries
+from textlens.plans.search_service import search_with_spelling
 from textlens.operators.tfidf import TfidfIndex, fit_tfidf
 from textlens.sources.corpus import corpus_from_table
 
@@ -64,10 +69,90 @@ def q_search_zero_fill(spark, sf_dir):
     return search(tfidf_index(spark, sf_dir), user_queries(spark, sf_dir), 10)
 
 
+_POSTINGS_CACHE: dict[tuple, DataFrame] = {}
+
+
+def postings_table(spark, sf_dir) -> DataFrame:
+    key = (id(spark), sf_dir)
+    if key not in _POSTINGS_CACHE:
+        _POSTINGS_CACHE[key] = build_postings(tfidf_index(spark, sf_dir).docs)
+    return _POSTINGS_CACHE[key]
+
+
+def q_postings(spark, sf_dir):
+    p = postings_table(spark, sf_dir)
+    return p.select("term", "doc_id", F.array_join("positions", ",").alias("positions"))
+
+
+def q_postings_nested(spark, sf_dir):
+    return postings_text(nest_postings(postings_table(spark, sf_dir)))
+
+
+def q_index_stats(spark, sf_dir):
+    idx = tfidf_index(spark, sf_dir)
+    return index_stats(postings_table(spark, sf_dir), idx.docs, idx.vocab)
+
+
+def spell_dictionary(spark, sf_dir) -> DataFrame:
+    """Fallback word list plus the corpus vocabulary (bigrams included)."""
+    return extend_dictionary(fallback_dictionary(spark), tfidf_index(spark, sf_dir).vocab)
+
+
+def misspelled_queries(spark, sf_dir) -> DataFrame:
+    """Benchmark passages with the second letter of every 6+ letter word
+    dropped (typing errors on real query text)."""
+    b = table(spark, sf_dir, "benchmark")
+    text = F.regexp_replace("text", r"(^|\s)(\p{L})\p{L}(\p{L}{4,})", "$1$2$3")
+    return b.select(F.col("item_id").alias("query_id"), text.alias("query_text"))
+
+
+def q_validate_queries(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    req = c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"),
+                   F.col("text").alias("query_text"), F.col("turn").cast("string").alias("top_k"))
+    return validate_queries(req).select("query_id", "valid", "error", "top_k")
+
+
+def _query_words(queries: DataFrame) -> DataFrame:
+    toks = queries.select(F.explode(split_ws(F.lower("query_text"))).alias("token"))
+    return toks.select(query_word(F.col("token")).alias("word")).where(F.col("word") != "")
+
+
+def q_spell_unknown(spark, sf_dir):
+    words = _query_words(user_queries(spark, sf_dir)).distinct()
+    return words.join(spell_dictionary(spark, sf_dir), "word", "left_anti")
+
+
+def q_spell_suggest(spark, sf_dir):
+    return suggest(_query_words(misspelled_queries(spark, sf_dir)), spell_dictionary(spark, sf_dir))
+
+
+def q_check_queries(spark, sf_dir):
+    r = check_queries(misspelled_queries(spark, sf_dir), spell_dictionary(spark, sf_dir))
+    sugg = F.array_join(F.transform(F.array_sort(F.map_entries("suggestions")),
+                                    lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "|"))), ";")
+    return r.select("query_id", "original", "corrected", "has_errors",
+                    F.array_join("misspelled_words", ",").alias("misspelled_words"), sugg.alias("suggestions"))
+
+
+def q_search_with_spelling(spark, sf_dir):
+    req = misspelled_queries(spark, sf_dir).withColumn("top_k", F.lit(5)).withColumn("auto_correct", F.lit(True))
+    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req, preview=False)
+    return res.results
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_filter": q_corpus_filter,
     "vocab_df_cf": q_vocab_df_cf,
     "doc_weights": q_doc_weights,
     "tfidf_search_topk": q_tfidf_search_topk,
     "search_zero_fill": q_search_zero_fill,
+    "postings": q_postings,
+    "postings_nested": q_postings_nested,
+    "index_stats": q_index_stats,
+    "validate_queries": q_validate_queries,
+    "spell_unknown": q_spell_unknown,
+    "spell_suggest": q_spell_suggest,
+    "check_queries": q_check_queries,
+    "search_with_spelling": q_search_with_spelling,
 }

@@ -83,10 +83,130 @@ BENCH_QUERIES = "q AS (SELECT item_id AS query_id, text AS query_text, 5 AS k FR
 USER_QUERIES = ("q AS (SELECT conv_id * 1000 + turn AS query_id, text AS query_text, 10 AS k "
                 "FROM conversations WHERE role = 'user')")
 
+POSTINGS_BODY = r"""
+words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(generate_series(0, len(ws) - 1)) AS pos
+  FROM (SELECT doc_id, string_split_regex(lower(text), '\s+') AS ws FROM corpus)
+),
+terms AS (
+  SELECT doc_id, pos, regexp_replace(word, '[^\p{L}\p{N}]', '', 'g') AS term FROM words
+),
+postings AS (
+  SELECT term, doc_id, list_sort(list(pos)) AS positions
+  FROM terms WHERE length(term) >= 3 GROUP BY term, doc_id
+)"""
+POSTINGS = CORPUS + "," + POSTINGS_BODY
+
+PUNCT_SQL = "'!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~'"
+
+# Queries with typing errors: the second letter of every word of 6+ letters
+# is dropped.
+MISSPELLED = r"""mq AS (
+  SELECT item_id AS query_id,
+         regexp_replace(text, '(^|\s)(\pL)\pL(\pL{4,})', '\1\2\3', 'g') AS query_text
+  FROM benchmark
+)"""
+
+# Spell check of ``sq(query_id, query_text)`` against fallback + vocabulary.
+# DuckDB's levenshtein counts bytes; the few non-ASCII letters are mapped to
+# unused control characters first so distances count characters.
+SPELL = r"""
+dct AS (
+  SELECT DISTINCT word FROM (
+    SELECT unnest(""" + FALLBACK_LIST + r""") AS word UNION ALL SELECT lower(term) FROM vocab)
+  WHERE word <> ''
+),
+toks AS (
+  SELECT query_id, unnest(ws) AS token, unnest(generate_series(0, len(ws) - 1)) AS pos
+  FROM (SELECT query_id,
+               CASE WHEN regexp_replace(lower(query_text), '^\s+|\s+$', '', 'g') = '' THEN []::VARCHAR[]
+                    ELSE string_split_regex(regexp_replace(lower(query_text), '^\s+|\s+$', '', 'g'), '\s+') END AS ws
+        FROM sq)
+),
+ctoks AS (SELECT query_id, pos, token, trim(token, """ + PUNCT_SQL + r""") AS clean FROM toks),
+unknown AS (
+  SELECT DISTINCT clean AS word FROM ctoks
+  WHERE clean <> '' AND clean NOT IN (SELECT word FROM dct)
+),
+chars AS (
+  SELECT DISTINCT ch FROM (
+    SELECT unnest(string_split(word, '')) AS ch FROM (SELECT word FROM unknown UNION ALL SELECT word FROM dct))
+  WHERE ord(ch) > 127
+),
+cmap AS (
+  SELECT coalesce(string_agg(ch, '' ORDER BY ch), '') AS src,
+         coalesce(string_agg(chr(CAST(rn AS INTEGER)), '' ORDER BY ch), '') AS dst
+  FROM (SELECT ch, row_number() OVER (ORDER BY ch) AS rn FROM chars)
+),
+cand AS (
+  SELECT u.word, d.word AS suggestion,
+         levenshtein(translate(u.word, m.src, m.dst), translate(d.word, m.src, m.dst)) AS distance
+  FROM unknown u JOIN dct d ON abs(length(u.word) - length(d.word)) <= 2, cmap m
+),
+sug AS (
+  SELECT * FROM (
+    SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY distance, suggestion) AS INTEGER) AS rank,
+           suggestion, CAST(distance AS INTEGER) AS distance
+    FROM cand WHERE distance <= 2)
+  WHERE rank <= 3
+),
+lists AS (SELECT word, list(suggestion ORDER BY rank) AS sl FROM sug GROUP BY word),
+tk AS (SELECT t.query_id, t.pos, t.token, t.clean, l.sl FROM ctoks t LEFT JOIN lists l ON l.word = t.clean),
+sugstr AS (
+  SELECT query_id, string_agg(clean || '=' || array_to_string(sl, '|'), ';' ORDER BY clean) AS suggestions
+  FROM (SELECT DISTINCT query_id, clean, sl FROM tk WHERE sl IS NOT NULL) GROUP BY query_id
+),
+chk AS (
+  SELECT sq.query_id, coalesce(sq.query_text, '') AS original,
+         coalesce(a.corrected, '') AS corrected, coalesce(a.has_errors, false) AS has_errors,
+         coalesce(a.misspelled, '') AS misspelled_words, coalesce(s.suggestions, '') AS suggestions
+  FROM sq
+  LEFT JOIN (
+    SELECT query_id,
+           string_agg(CASE WHEN sl IS NOT NULL THEN sl[1] ELSE token END, ' ' ORDER BY pos) AS corrected,
+           bool_or(sl IS NOT NULL) AS has_errors,
+           string_agg(CASE WHEN sl IS NOT NULL THEN clean END, ',' ORDER BY pos) AS misspelled
+    FROM tk GROUP BY query_id) a USING (query_id)
+  LEFT JOIN sugstr s USING (query_id)
+)"""
+
+USER_SQ = ("sq AS (SELECT conv_id * 1000 + turn AS query_id, text AS query_text "
+           "FROM conversations WHERE role = 'user')")
+MISSPELLED_SQ = MISSPELLED + ",\nsq AS (SELECT query_id, query_text FROM mq)"
+
 SQL: dict[str, str] = {
     "corpus_filter": "WITH " + CORPUS + "\nSELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM corpus",
     "vocab_df_cf": "WITH " + TFIDF + "\nSELECT term, df, cf, round(idf, 9) AS idf FROM vocab",
     "doc_weights": "WITH " + TFIDF + "\nSELECT doc_id, term, round(w, 9) AS w FROM dw",
     "tfidf_search_topk": search_sql(BENCH_QUERIES, 5),
     "search_zero_fill": search_sql(USER_QUERIES, 10),
+    "postings": "WITH " + POSTINGS + "\nSELECT term, doc_id, array_to_string(positions, ',') AS positions FROM postings",
+    "postings_nested": "WITH " + POSTINGS + """
+SELECT term, doc_id // 1000000 AS block,
+       string_agg(CAST(doc_id AS VARCHAR) || ':' || array_to_string(positions, ','), ';' ORDER BY doc_id) AS postings
+FROM postings GROUP BY term, block""",
+    "validate_queries": r"""
+SELECT query_id, error IS NULL AS valid, error,
+       CASE WHEN error IS NULL THEN CAST(k AS INTEGER) END AS top_k
+FROM (
+  SELECT conv_id * 1000 + turn AS query_id, turn AS k,
+         CASE WHEN text IS NULL THEN 'Query parameter is missing'
+              WHEN regexp_replace(text, '^\s+|\s+$', '', 'g') = '' THEN 'Query is empty'
+              WHEN length(regexp_replace(text, '^\s+|\s+$', '', 'g')) < 2 THEN 'Query too short'
+              WHEN length(text) > 1000 THEN 'Query too long'
+              WHEN turn < 1 OR turn > 100 THEN 'top_k must be between 1 and 100'
+         END AS error
+  FROM conversations)""",
+    "spell_unknown": "WITH " + TFIDF + ",\n" + USER_SQ + "," + SPELL + "\nSELECT word FROM unknown",
+    "spell_suggest": "WITH " + TFIDF + ",\n" + MISSPELLED_SQ + "," + SPELL
+    + "\nSELECT word, rank, suggestion, distance FROM sug",
+    "check_queries": "WITH " + TFIDF + ",\n" + MISSPELLED_SQ + "," + SPELL
+    + "\nSELECT query_id, original, corrected, has_errors, misspelled_words, suggestions FROM chk",
+    "search_with_spelling": search_sql(
+        MISSPELLED_SQ + "," + SPELL + ",\nq AS (SELECT query_id, "
+        "CASE WHEN has_errors THEN corrected ELSE original END AS query_text, 5 AS k FROM chk)", "k"),
+    "index_stats": "WITH " + TFIDF + "," + POSTINGS_BODY + """
+SELECT (SELECT count(DISTINCT term) FROM postings) AS total_terms,
+       (SELECT count(*) FROM corpus) AS total_documents,
+       (SELECT count(*) FROM vocab) AS vocabulary_size""",
 }
