@@ -90,6 +90,13 @@ def deaccent(s: pd.Series) -> pd.Series:
 def semantic_tokens(c, min_len: int = 2, max_len: int = 15) -> Column:
     """Lower-case, strip accents, alphabetic runs of min_len..max_len chars
     that do not start with an underscore."""
+    from pyspark.sql import SparkSession
+
+    from textlens.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     toks = F.regexp_extract_all(deaccent(F.lower(_col(c))), F.lit(ALPHA_RUN), 0)
     return F.filter(
         toks,

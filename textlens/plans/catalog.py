@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
 from textlens.operators.search import search
+from textlens.operators.pages import crawl_stats, extract_documents, extract_links, traverse, url_host, walk
 from textlens.operators.spelling import check_queries, extend_dictionary, fallback_dictionary, suggest
 from textlens.functions.text import query_word, split_ws
 from textlens.operators.validate import validate_queries
@@ -141,6 +142,72 @@ def q_search_with_spelling(spark, sf_dir):
     return res.results
 
 
+_WALK_CACHE: dict[tuple, DataFrame] = {}
+
+
+def walked_pages(spark, sf_dir) -> DataFrame:
+    key = (id(spark), sf_dir)
+    if key not in _WALK_CACHE:
+        _WALK_CACHE[key] = walk(table(spark, sf_dir, "pages")).persist()
+    return _WALK_CACHE[key]
+
+
+def q_page_titles(spark, sf_dir):
+    return extract_documents(walked_pages(spark, sf_dir)).select("page_id", "title")
+
+
+def q_page_documents(spark, sf_dir):
+    return extract_documents(walked_pages(spark, sf_dir)).select("page_id", "content", "n_chars", "ok")
+
+
+def q_page_links(spark, sf_dir):
+    return extract_links(walked_pages(spark, sf_dir)).select("page_id", "link")
+
+
+def q_link_domains(spark, sf_dir):
+    links = extract_links(walked_pages(spark, sf_dir))
+    return links.groupBy(url_host(F.col("link")).alias("host")).agg(
+        F.count(F.lit(1)).alias("n_links"), F.count_distinct("page_id").alias("n_pages"))
+
+
+def traversal_fixture(spark, sf_dir):
+    """Seeds and edges derived from the pages table: each host's first page
+    is a seed; edges are the pages' own links plus host root <-> page,
+    page -> 2*page / 2*page+1 and page -> itself."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    ph = pages.withColumn("host", url_host(F.col("url")))
+    roots = ph.groupBy("host").agg(F.min("page_id").alias("root"))
+    ids = ph.join(roots, "host")
+    root_url = pages.select(F.col("page_id").alias("root"), F.col("url").alias("root_url"))
+    child = lambda off: ids.join(
+        pages.select((F.col("page_id") - off).alias("half"), F.col("url").alias("dst")),
+        F.col("half") == 2 * F.col("page_id")).select(F.col("url").alias("src"), "dst")
+    links = extract_links(walked_pages(spark, sf_dir)).join(pages, "page_id").select(
+        F.col("url").alias("src"), F.col("link").alias("dst"))
+    star = ids.join(root_url, "root")
+    edges = (
+        links.unionByName(star.select(F.col("url").alias("src"), F.col("root_url").alias("dst")))
+        .unionByName(star.select(F.col("root_url").alias("src"), F.col("url").alias("dst")))
+        .unionByName(child(0)).unionByName(child(1))
+        .unionByName(pages.select(F.col("url").alias("src"), F.col("url").alias("dst")))
+    )
+    seeds = roots.join(pages, F.col("root") == F.col("page_id")).select(
+        F.col("page_id").alias("crawl_id"), F.col("url").alias("seed_url"))
+    return seeds, edges, pages
+
+
+def q_traverse(spark, sf_dir):
+    seeds, edges, pages = traversal_fixture(spark, sf_dir)
+    return traverse(seeds, edges, pages)
+
+
+def q_crawl_stats(spark, sf_dir):
+    seeds, edges, pages = traversal_fixture(spark, sf_dir)
+    visits = traverse(seeds, edges, pages)
+    stats = crawl_stats(visits, extract_documents(walked_pages(spark, sf_dir)))
+    return stats.select("crawl_id", "total_pages", "successful_pages", "failed_pages", "success_rate")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_filter": q_corpus_filter,
     "vocab_df_cf": q_vocab_df_cf,
@@ -155,4 +222,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spell_suggest": q_spell_suggest,
     "check_queries": q_check_queries,
     "search_with_spelling": q_search_with_spelling,
+    "page_titles": q_page_titles,
+    "page_documents": q_page_documents,
+    "page_links": q_page_links,
+    "link_domains": q_link_domains,
+    "traverse": q_traverse,
+    "crawl_stats": q_crawl_stats,
 }

@@ -174,6 +174,155 @@ USER_SQ = ("sq AS (SELECT conv_id * 1000 + turn AS query_id, text AS query_text
            "FROM conversations WHERE role = 'user')")
 MISSPELLED_SQ = MISSPELLED + ",\nsq AS (SELECT query_id, query_text FROM mq)"
 
+URL_RE = r"^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def _decode(x: str) -> str:
+    return (f"replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), "
+            f"'&middot;', '·'), '&amp;', '&')")
+
+
+def _host(x: str) -> str:
+    return (f"lower(regexp_extract(regexp_extract({x}, '{URL_RE}', 3), "
+            r"'^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)', 1))")
+
+
+_IGNORED = ", ".join(f"'{e}'" for e in (
+    "7z 7zip bz2 rar tar tar.gz xz zip mng pct bmp gif jpg jpeg png pst psp tif tiff ai drw dxf eps ps svg cdr "
+    "ico webp mp3 wma ogg wav ra aac mid au aiff 3gp asf asx avi mov mp4 mpg qt rm swf wmv m4a m4v flv webm "
+    "xls xlsm xlsx xltm xltx potm potx ppt pptm pptx pps doc docb docm docx dotm dotx odt ods odg odp "
+    "css pdf exe bin rss dmg iso apk jar sh rb js hta bat cpl msi msp py").split())
+
+# Regex oracle for page extraction: on the test pages every article holds
+# an h1 followed by p / b / br markup only.
+PAGE_DOCS = r"""
+art AS (
+  SELECT page_id, url, html,
+         regexp_replace(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1),
+                        '(?s)<h1[^>]*>.*?</h1>', '', 'g') AS a
+  FROM pages
+),
+nodes AS (
+  SELECT page_id, list_filter(
+           list_transform(string_split_regex(a, '<[^>]*>'),
+                          lambda x: regexp_replace(""" + _decode("x") + r""", '^\s+|\s+$', '', 'g')),
+           lambda t: length(t) > 20 AND NOT starts_with(t, '[')
+                     AND strpos(substr(lower(t), 1, 20), 'wikipedia') = 0
+                     AND strpos(substr(lower(t), 1, 10), 'edit') = 0) AS kept
+  FROM art
+),
+ftext AS (
+  SELECT page_id,
+         regexp_replace(regexp_replace(array_to_string(kept, ' '), '\s+', ' ', 'g'), '^ | $', '', 'g') AS body
+  FROM nodes
+),
+pdocs AS (
+  SELECT page_id, substr(body, 1, 5000) AS content, CAST(length(substr(body, 1, 5000)) AS BIGINT) AS n_chars,
+         length(body) >= 150 AS ok
+  FROM ftext
+),
+ptitles AS (
+  SELECT page_id,
+         coalesce(nullif(""" + _decode(r"regexp_extract(html, '<h1[^>]*>([^<]*)', 1)") + r""", ''),
+                  nullif(""" + _decode(r"regexp_extract(html, '<title[^>]*>([^<]*)', 1)") + r""", ''),
+                  'Untitled') AS title
+  FROM pages
+)"""
+
+PAGE_LINKS = r"""
+hrefs AS (
+  SELECT page_id, url, h.href, h.pos FROM (
+    SELECT page_id, url,
+           unnest(regexp_extract_all(html, '<(?:a|area)\s[^>]*href="([^"]*)"', 1)) AS href,
+           unnest(generate_series(0, len(regexp_extract_all(html, '<(?:a|area)\s[^>]*href="([^"]*)"', 1)) - 1)) AS pos
+    FROM pages) h
+),
+parts AS (
+  SELECT page_id, pos, regexp_replace(href, '^[	
+
+ ]+|[	
+
+ ]+$', '', 'g') AS h,
+         regexp_extract(url, '""" + URL_RE + r"""', 1) AS scheme,
+         regexp_extract(url, '""" + URL_RE + r"""', 2) AS auth,
+         regexp_extract(url, '""" + URL_RE + r"""', 4) AS path,
+         regexp_extract(url, '""" + URL_RE + r"""', 5) AS query
+  FROM hrefs
+),
+resolved AS (
+  SELECT page_id, pos,
+         CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h
+              WHEN starts_with(h, '//') THEN scheme || ':' || h
+              WHEN starts_with(h, '/') THEN scheme || ':' || auth || h
+              WHEN starts_with(h, '?') THEN scheme || ':' || auth || path || h
+              WHEN starts_with(h, '#') THEN scheme || ':' || auth || path || query || h
+              WHEN h = '' THEN scheme || ':' || auth || path || query
+              ELSE scheme || ':' || auth || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || h
+         END AS l0
+  FROM parts
+),
+dots AS (
+  SELECT page_id, pos, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+           regexp_replace(l0, '/(\./)+', '/', 'g'),
+           '/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./', '/'),
+           '/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./', '/'),
+           '/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./', '/'), '$^', '') AS link
+  FROM resolved
+),
+plinks AS (
+  SELECT page_id, min(pos) AS pos, link FROM dots
+  WHERE lower(regexp_extract(link, '""" + URL_RE + r"""', 1)) IN ('http', 'https', 'file', 'ftp')
+    AND lower(regexp_extract(regexp_extract(link, '""" + URL_RE + r"""', 4), '\.([^./]*)$', 1)) NOT IN (""" + _IGNORED + r""")
+  GROUP BY page_id, link
+)"""
+
+# Traversal fixture: links of the pages plus edges derived from the table
+# (host root <-> every page of the host, page -> 2*page and 2*page+1, self).
+TRAVERSE = PAGE_LINKS + r""",
+ph AS (SELECT page_id, url, """ + _host("url") + r""" AS host FROM pages),
+roots AS (SELECT host, min(page_id) AS root FROM ph GROUP BY host),
+ids AS (SELECT p.page_id, p.url, p.host, r.root FROM ph p JOIN roots r USING (host)),
+edges0 AS (
+  SELECT p.url AS src, l.link AS dst FROM plinks l JOIN pages p USING (page_id)
+  UNION ALL SELECT i.url, r.url FROM ids i JOIN pages r ON r.page_id = i.root
+  UNION ALL SELECT r.url, i.url FROM ids i JOIN pages r ON r.page_id = i.root
+  UNION ALL SELECT i.url, c.url FROM ids i JOIN pages c ON c.page_id = 2 * i.page_id
+  UNION ALL SELECT i.url, c.url FROM ids i JOIN pages c ON c.page_id = 2 * i.page_id + 1
+  UNION ALL SELECT url, url FROM pages
+),
+edges AS (
+  SELECT DISTINCT regexp_replace(src, '#.*$', '') AS key, regexp_replace(dst, '#.*$', '') AS dst
+  FROM edges0 WHERE regexp_replace(dst, '#.*$', '') <> ''
+),
+crawls AS (
+  SELECT p.page_id AS crawl_id,
+         lower(regexp_replace(split_part(string_split(p.url, '//')[-1], '/', 1), ':[0-9]*$', '')) AS domain,
+         regexp_replace(p.url, '#.*$', '') AS key
+  FROM pages p JOIN roots r ON r.root = p.page_id
+),
+fetchable AS (
+  SELECT regexp_replace(url, '#.*$', '') AS key, min(page_id) AS page_id, arg_min(url, page_id) AS url
+  FROM pages GROUP BY key
+),
+bfs(crawl_id, key, depth) AS (
+  SELECT crawl_id, key, 0 FROM crawls
+  UNION
+  SELECT b.crawl_id, e.dst, b.depth + 1
+  FROM bfs b JOIN fetchable f ON f.key = b.key JOIN edges e ON e.key = b.key
+       JOIN crawls c ON c.crawl_id = b.crawl_id
+  WHERE b.depth < 4
+    AND (""" + _host("e.dst") + r""" = c.domain OR ends_with(""" + _host("e.dst") + r""", '.' || c.domain))
+),
+visits AS (
+  SELECT * FROM (
+    SELECT v.crawl_id, f.page_id, f.url, CAST(v.depth AS INTEGER) AS depth,
+           CAST(row_number() OVER (PARTITION BY v.crawl_id ORDER BY v.depth, v.key) AS INTEGER) AS rank
+    FROM (SELECT crawl_id, key, min(depth) AS depth FROM bfs GROUP BY crawl_id, key) v
+    JOIN fetchable f USING (key)
+    WHERE v.depth > 0)
+  WHERE rank <= 50
+)"""
+
 SQL: dict[str, str] = {
     "corpus_filter": "WITH " + CORPUS + "\nSELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM corpus",
     "vocab_df_cf": "WITH " + TFIDF + "\nSELECT term, df, cf, round(idf, 9) AS idf FROM vocab",
@@ -205,6 +354,16 @@ FROM (
     "search_with_spelling": search_sql(
         MISSPELLED_SQ + "," + SPELL + ",\nq AS (SELECT query_id, "
         "CASE WHEN has_errors THEN corrected ELSE original END AS query_text, 5 AS k FROM chk)", "k"),
+    "page_titles": "WITH " + PAGE_DOCS + "\nSELECT page_id, title FROM ptitles",
+    "page_documents": "WITH " + PAGE_DOCS + "\nSELECT page_id, content, n_chars, ok FROM pdocs",
+    "page_links": "WITH " + PAGE_LINKS + "\nSELECT page_id, link FROM plinks",
+    "link_domains": "WITH " + PAGE_LINKS + "\nSELECT " + _host("link") + """ AS host,
+       count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM plinks GROUP BY host""",
+    "traverse": "WITH RECURSIVE " + TRAVERSE + "\nSELECT crawl_id, page_id, url, depth, rank FROM visits",
+    "crawl_stats": "WITH RECURSIVE " + TRAVERSE + "," + PAGE_DOCS + """
+SELECT crawl_id, count(*) AS total_pages, count_if(ok) AS successful_pages, count_if(NOT ok) AS failed_pages,
+       format('{:.1f}%', CASE WHEN count(*) > 0 THEN count_if(ok) * 100.0 / count(*) ELSE 0.0 END) AS success_rate
+FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id""",
     "index_stats": "WITH " + TFIDF + "," + POSTINGS_BODY + """
 SELECT (SELECT count(DISTINCT term) FROM postings) AS total_terms,
        (SELECT count(*) FROM corpus) AS total_documents,

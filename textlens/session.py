@@ -61,3 +61,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def partition_count(spark: SparkSession) -> int:
     """Shuffle partition count used for explicit repartitioning."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textlens`` importable in Python workers (needed by the pandas
+    UDF / mapInPandas helpers): zip the package once per context and add it
+    with ``addPyFile``, which distributes it to every executor."""
+    import shutil
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="textlens-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "textlens"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="textlens")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))
