@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
 from textlens.operators.search import search
+from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
+                                         similar_words, tokenize, word_similarity, word_vectors)
 from textlens.operators.pages import crawl_stats, extract_documents, extract_links, traverse, url_host, walk
 from textlens.operators.spelling import check_queries, extend_dictionary, fallback_dictionary, suggest
 from textlens.functions.text import query_word, split_ws
@@ -208,6 +210,70 @@ def q_crawl_stats(spark, sf_dir):
     return stats.select("crawl_id", "total_pages", "successful_pages", "failed_pages", "success_rate")
 
 
+def embedding_vectors(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("embedding").alias("vec"), "label")
+
+
+def q_knn_l2(spark, sf_dir):
+    """Top-10 nearest vectors (squared L2) to each label's centroid."""
+    vec = embedding_vectors(spark, sf_dir)
+    q = centroids(vec.select("label", "vec"), "label").select(F.col("label").cast("long").alias("query_id"), "vec")
+    return knn(q, vec.select("vec_id", "vec"), 10, key="vec_id")
+
+
+def rule_vectors(words: DataFrame) -> DataFrame:
+    """Deterministic 3-d word vectors from the word's length and first and
+    last code points: a checkable stand-in for trained vectors."""
+    w = F.col("word")
+    return words.select("word", F.array(
+        F.sqrt(F.length(w).cast("double")), F.log(F.ascii(w).cast("double")),
+        F.sqrt(F.ascii(F.substring(w, F.length(w), 1)).cast("double"))).alias("vector"))
+
+
+def q_word_mean_vectors(spark, sf_dir):
+    words = tokenize(table(spark, sf_dir, "benchmark"), "item_id").select(
+        F.explode("tokens").alias("word")).distinct()
+    docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
+    mv = mean_vectors(docs, rule_vectors(words), 3, "doc_id")
+    return mv.select("doc_id", *[F.round(F.col("vector")[i], 6).alias(f"v{i}") for i in range(3)])
+
+
+_W2V_CACHE: dict[tuple, object] = {}
+
+
+def w2v_model(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _W2V_CACHE:
+        docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
+        _W2V_CACHE[key] = fit_word_vectors(docs, vector_size=50,
+                                           num_partitions=spark.sparkContext.defaultParallelism)
+    return _W2V_CACHE[key]
+
+
+def q_semantic_search(spark, sf_dir):
+    model = w2v_model(spark, sf_dir)
+    docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
+    dv = mean_vectors(docs, word_vectors(model), model.getVectorSize(), "doc_id")
+    return semantic_search(model, dv, bench_queries(spark, sf_dir), 5)
+
+
+def _bench_tokens(spark, sf_dir):
+    return tokenize(table(spark, sf_dir, "benchmark"), "item_id")
+
+
+def q_similar_words(spark, sf_dir):
+    words = _bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct()
+    return similar_words(words, word_vectors(w2v_model(spark, sf_dir)), 5)
+
+
+def q_word_similarity(spark, sf_dir):
+    t = _bench_tokens(spark, sf_dir)
+    pairs = t.select(F.explode(F.arrays_zip(F.col("tokens"), F.slice("tokens", 2, 1 << 30))).alias("p")).select(
+        F.col("p")["tokens"].alias("word1"), F.col("p")["1"].alias("word2")).where(F.col("word2").isNotNull())
+    return word_similarity(pairs.distinct(), word_vectors(w2v_model(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_filter": q_corpus_filter,
     "vocab_df_cf": q_vocab_df_cf,
@@ -228,4 +294,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_domains": q_link_domains,
     "traverse": q_traverse,
     "crawl_stats": q_crawl_stats,
+    "knn_l2": q_knn_l2,
+    "word_mean_vectors": q_word_mean_vectors,
+    "semantic_search": q_semantic_search,
+    "similar_words": q_similar_words,
+    "word_similarity": q_word_similarity,
 }

@@ -323,6 +323,45 @@ visits AS (
   WHERE rank <= 50
 )"""
 
+KNN_L2 = r"""
+WITH cells AS (
+  SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS i FROM embeddings
+),
+cent AS (
+  SELECT label AS query_id, list(m ORDER BY i) AS q
+  FROM (SELECT label, i, avg(x) AS m FROM cells GROUP BY label, i) GROUP BY label
+),
+d AS (
+  SELECT c.query_id, e.vec_id,
+         round(list_sum(list_transform(list_zip(c.q, e.embedding), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6)
+           AS distance
+  FROM cent c, embeddings e
+)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
+         vec_id, distance, round(1.0 / (1.0 + distance), 6) AS similarity
+  FROM d)
+WHERE rank <= 10"""
+
+SEM_TOKENS = r"""list_filter(regexp_extract_all(strip_accents(lower({t})), '[\p{{L}}\p{{Nl}}\p{{No}}_]+'),
+                     lambda w: length(w) BETWEEN 2 AND 15 AND NOT starts_with(w, '_'))"""
+
+WORD_MEAN = r"""
+WITH btok AS (SELECT DISTINCT unnest(""" + SEM_TOKENS.format(t="text") + r""") AS word FROM benchmark),
+wv AS (
+  SELECT word, sqrt(length(word)::DOUBLE) AS x0, ln(unicode(word)::DOUBLE) AS x1,
+         sqrt(unicode(substring(word, length(word), 1))::DOUBLE) AS x2
+  FROM btok
+),
+dtok AS (SELECT doc_id, unnest(""" + SEM_TOKENS.format(t="text") + r""") AS word FROM documents),
+m AS (
+  SELECT d.doc_id, avg(w.x0) AS v0, avg(w.x1) AS v1, avg(w.x2) AS v2
+  FROM dtok d JOIN wv w USING (word) GROUP BY d.doc_id
+)
+SELECT d.doc_id, round(coalesce(m.v0, 0.0), 6) AS v0, round(coalesce(m.v1, 0.0), 6) AS v1,
+       round(coalesce(m.v2, 0.0), 6) AS v2
+FROM documents d LEFT JOIN m USING (doc_id)"""
+
 SQL: dict[str, str] = {
     "corpus_filter": "WITH " + CORPUS + "\nSELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM corpus",
     "vocab_df_cf": "WITH " + TFIDF + "\nSELECT term, df, cf, round(idf, 9) AS idf FROM vocab",
@@ -364,6 +403,8 @@ FROM (
 SELECT crawl_id, count(*) AS total_pages, count_if(ok) AS successful_pages, count_if(NOT ok) AS failed_pages,
        format('{:.1f}%', CASE WHEN count(*) > 0 THEN count_if(ok) * 100.0 / count(*) ELSE 0.0 END) AS success_rate
 FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id""",
+    "knn_l2": KNN_L2,
+    "word_mean_vectors": WORD_MEAN,
     "index_stats": "WITH " + TFIDF + "," + POSTINGS_BODY + """
 SELECT (SELECT count(DISTINCT term) FROM postings) AS total_terms,
        (SELECT count(*) FROM corpus) AS total_documents,
