@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
 from textlens.operators.search import search
+from textlens.operators.status import corpus_ready, health
+from textlens.sources.logs import results_csv, results_json
+from textlens.session import checkpoint_dir
+from textlens.streaming.pages import start_page_stream
+from textlens.streaming.queries import start_query_stream
 from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
                                          similar_words, tokenize, word_similarity, word_vectors)
 from textlens.operators.pages import crawl_stats, extract_documents, extract_links, traverse, url_host, walk
@@ -274,6 +279,50 @@ def q_word_similarity(spark, sf_dir):
     return word_similarity(pairs.distinct(), word_vectors(w2v_model(spark, sf_dir)))
 
 
+def q_results_csv(spark, sf_dir):
+    return results_csv(q_tfidf_search_topk(spark, sf_dir))
+
+
+def q_results_json(spark, sf_dir):
+    req = misspelled_queries(spark, sf_dir).withColumn("top_k", F.lit(5)).withColumn("auto_correct", F.lit(True))
+    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req)
+    return results_json(res.requests, res.results)
+
+
+def q_health(spark, sf_dir):
+    return health(tfidf_index(spark, sf_dir).docs, spell_dictionary(spark, sf_dir))
+
+
+def q_corpus_ready(spark, sf_dir):
+    return corpus_ready(table(spark, sf_dir, "documents"))
+
+
+def _stream_dir(spark, name: str) -> str:
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+
+
+def q_stream_queries(spark, sf_dir):
+    """Benchmark passages streamed as query files, answered per
+    micro-batch; equals the batch top-5 search."""
+    base = _stream_dir(spark, "queries")
+    q = start_query_stream(spark, sf_dir, "item_id long, text string",
+                           tfidf_index(spark, sf_dir), f"{base}/out", f"{base}/checkpoint", k=5,
+                           rename={"item_id": "query_id", "text": "query_text"}, glob="benchmark.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/results").select("query_id", "rank", "doc_id", "score")
+
+
+def q_stream_pages(spark, sf_dir):
+    """Pages streamed as files and extracted per micro-batch; equals the
+    batch page extraction."""
+    base = _stream_dir(spark, "pages")
+    q = start_page_stream(spark, sf_dir, f"{base}/out", f"{base}/checkpoint", glob="pages.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("page_id", "content", "n_chars", "ok")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_filter": q_corpus_filter,
     "vocab_df_cf": q_vocab_df_cf,
@@ -299,4 +348,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "semantic_search": q_semantic_search,
     "similar_words": q_similar_words,
     "word_similarity": q_word_similarity,
+    "results_csv": q_results_csv,
+    "results_json": q_results_json,
+    "health": q_health,
+    "corpus_ready": q_corpus_ready,
+    "stream_queries": q_stream_queries,
+    "stream_pages": q_stream_pages,
 }

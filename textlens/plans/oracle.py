@@ -405,6 +405,24 @@ SELECT crawl_id, count(*) AS total_pages, count_if(ok) AS successful_pages, coun
 FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id""",
     "knn_l2": KNN_L2,
     "word_mean_vectors": WORD_MEAN,
+    "results_csv": search_sql(BENCH_QUERIES, 5).replace(
+        "SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= k",
+        "SELECT query_id, rank, doc_id AS document_id, format('{:.4f}', score) AS similarity_score "
+        "FROM ranked WHERE rank <= k"),
+    "health": "WITH " + TFIDF + r""",
+dct AS (
+  SELECT DISTINCT word FROM (
+    SELECT unnest(""" + FALLBACK_LIST + r""") AS word UNION ALL SELECT lower(term) FROM vocab)
+  WHERE word <> ''
+)
+SELECT 'healthy' AS status, (SELECT count(*) FROM corpus) AS documents_loaded, true AS index_ready,
+       true AS spell_checker_ready, (SELECT count(*) FROM dct) AS vocabulary_size""",
+    "corpus_ready": """
+SELECT corpus_bytes, corpus_bytes >= 1000 AS ready,
+       CASE WHEN n = 0 THEN 'corpus not found' WHEN corpus_bytes < 1000 THEN 'corpus too small' ELSE 'ok' END AS reason
+FROM (SELECT count(*) AS n, CAST(coalesce(sum(strlen(text) + 2), 0) AS BIGINT) AS corpus_bytes FROM documents)""",
+    "stream_queries": search_sql(BENCH_QUERIES, 5),
+    "stream_pages": "WITH " + PAGE_DOCS + "\nSELECT page_id, content, n_chars, ok FROM pdocs",
     "index_stats": "WITH " + TFIDF + "," + POSTINGS_BODY + """
 SELECT (SELECT count(DISTINCT term) FROM postings) AS total_terms,
        (SELECT count(*) FROM corpus) AS total_documents,
