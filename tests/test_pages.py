@@ -1,0 +1,111 @@
+"""HTML extraction rules, links and traversal."""
+
+import pytest
+
+from textlens.operators.pages import crawl_stats, extract_documents, extract_links, resolve, traverse, walk
+from pyspark.sql import functions as F
+
+
+def page(spark, html, url="https://site.example.org/a/b"):
+    df = spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+    return walk(df)
+
+
+def doc(spark, html, **kw):
+    return extract_documents(page(spark, html, **kw)).first()
+
+
+N20 = "x" * 20
+N21 = "y" * 21
+LONG = "Lorem ipsum dolor sit amet consectetur. "
+
+
+@pytest.mark.parametrize("html,title", [
+    ('<h1 id="firstHeading">Id title</h1><h1 class="firstHeading">Class</h1><h1>Any</h1><title>T</title>', "Id title"),
+    ('<h1 class="firstHeading"><b>Class</b> title</h1><h1>Any</h1><title>T</title>', "Class"),
+    ('<h1><b>Bold</b></h1><h1>Any h1</h1><title>T</title>', "Any h1"),
+    ('<title>Tab &amp; title</title><p>x</p>', "Tab & title"),
+    ('<p>nothing</p>', "Untitled"),
+])
+def test_title_fallbacks(spark, html, title):
+    assert doc(spark, html)["title"] == title
+
+
+def test_node_rules(spark):
+    body = "".join(f"<p>{t}</p>" for t in [
+        N20, N21, "[1] " + LONG, "Wikipedia, the " + LONG, "Some edit " + LONG, "Plain &quot;text&quot; " + LONG * 4])
+    d = doc(spark, f"<article>{body}</article>")
+    assert d["content"] == N21 + " " + 'Plain "text" ' + (LONG * 4).strip()
+    assert d["ok"]
+
+
+def test_ancestor_rules(spark):
+    html = (
+        '<div id="bodyContent"><p>' + "A" * 30 + '</p><table><tr><td><p>' + "B" * 30 + '</p></td></tr></table>'
+        '<div class="navbox"><p>' + "C" * 30 + '</p></div></div>'
+        '<article><nav><p>' + "D" * 30 + '</p></nav><aside><p>' + "E" * 30 + '</p></aside>'
+        '<p>' + "F" * 30 + '<script>var s = "' + "G" * 30 + '";</script></p></article>'
+        '<div id="mw-content-text"><div class="mw-parser-output"><p>' + "H" * 30 + '</p><div><p>' + "I" * 30
+        + '</p></div></div></div>'
+    )
+    nodes = [n.strip() for n in page(spark, html).first()["nodes"]]
+    # script text inside a kept paragraph is a text node of it too
+    assert [n[0] for n in nodes if n.strip()] == ["A", "F", "v", "H"]
+
+
+def test_unclosed_paragraphs(spark):
+    html = "<article><h1>T</h1><p><b>" + "a" * 25 + "<br><p>" + "b" * 25 + "</p><p>" + "c" * 25 + "</article>"
+    assert doc(spark, html)["content"] == " ".join(["a" * 25, "b" * 25, "c" * 25])
+
+
+@pytest.mark.parametrize("n,ok,length", [(149, False, 149), (150, True, 150), (5000, True, 5000), (5001, True, 5000)])
+def test_content_length_rules(spark, n, ok, length):
+    text = ("word " * 2000)[:n - 1] + "z"
+    d = doc(spark, f"<article><p>{text}</p></article>")
+    assert d["ok"] == ok and d["n_chars"] == length
+
+
+def test_resolve_forms(spark):
+    base = "https://h.example.org/a/b/c?q=1#f"
+    cases = {"/x": "https://h.example.org/x", "//o.org/y": "https://o.org/y", "?z=2": "https://h.example.org/a/b/c?z=2",
+             "#g": "https://h.example.org/a/b/c?q=1#g", "d": "https://h.example.org/a/b/d",
+             "../d": "https://h.example.org/a/d", "./d": "https://h.example.org/a/b/d",
+             "http://x.org/p": "http://x.org/p", "": "https://h.example.org/a/b/c?q=1"}
+    df = spark.createDataFrame([(base, h) for h in cases], "base string, href string")
+    got = {r["href"]: r["u"] for r in df.select("href", resolve(F.col("base"), F.col("href")).alias("u")).collect()}
+    assert got == cases
+
+
+def test_links_filters(spark):
+    html = ('<a href="/p">1</a><a href="/p">dup</a><a href="mailto:x@y.org">m</a><a href="/f.pdf">pdf</a>'
+            '<area href="/q"><a href="#top">frag</a>')
+    links = {r["link"] for r in extract_links(page(spark, html, url="https://s.example.org/a")).collect()}
+    assert links == {"https://s.example.org/p", "https://s.example.org/q", "https://s.example.org/a#top"}
+
+
+def test_traverse_graph(spark):
+    urls = ["http://s.org/0", "http://s.org/1", "http://s.org/2", "http://sub.s.org/3", "http://other.org/4",
+            "http://s.org/5", "http://s.org/6", "http://s.org/7"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    e = [("0", "1"), ("0", "1#frag"), ("1", "0"), ("1", "1"), ("1", "2"), ("2", "3"), ("0", "4"),
+         ("3", "5"), ("5", "6"), ("6", "7"), ("0", "9")]
+    def u(x):
+        i = int(x.split("#")[0])
+        return urls[i] + x[len(str(i)):] if i < len(urls) else "http://s.org/9"
+    edges = spark.createDataFrame([(u(a), u(b)) for a, b in e], "src string, dst string")
+    seeds = spark.createDataFrame([(100, "http://s.org/0")], "crawl_id long, seed_url string")
+    got = {r["page_id"]: r["depth"] for r in traverse(seeds, edges, pages, max_pages=50, max_depth=4).collect()}
+    # cycle and self link visited once; other domain dropped; subdomain kept; depth 5 page not reached
+    assert got == {1: 1, 2: 2, 3: 3, 5: 4}
+    capped = traverse(seeds, edges, pages, max_pages=2, max_depth=4).collect()
+    assert sorted(r["page_id"] for r in capped) == [1, 2]
+    with_seed = {r["page_id"] for r in traverse(seeds, edges, pages, include_seed=True).collect()}
+    assert 0 in with_seed
+
+
+def test_crawl_stats_rate(spark):
+    visits = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 13)], "crawl_id long, page_id long")
+    docs = spark.createDataFrame([(10, True), (11, True), (12, False), (13, False)], "page_id long, ok boolean")
+    got = {r["crawl_id"]: (r["total_pages"], r["successful_pages"], r["failed_pages"], r["success_rate"])
+           for r in crawl_stats(visits, docs).collect()}
+    assert got == {1: (3, 2, 1, "66.7%"), 2: (1, 0, 1, "0.0%")}

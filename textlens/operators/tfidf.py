@@ -26,7 +26,7 @@ from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textlens.functions.text import tfidf_tokens
+from textlens.functions.text import strip, tfidf_tokens
 from textlens.functions.words import ENGLISH_STOP_WORDS
 from textlens.operators.common import bounded_broadcast
 from textlens.session import partition_count
@@ -96,7 +96,7 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
     spark = corpus.sparkSession
     parts = partitions or partition_count(spark)
     docs = (
-        corpus.select("doc_id", "text")
+        corpus.select("doc_id", strip(F.col("text")).alias("text"))
         .where(F.col("text") != "")
         .repartition(parts, "doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK)
