@@ -17,6 +17,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import functools
+import re
+import sys
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,9 +43,17 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The same whitespace characters as a plain string.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c) -> Column:
-    """Remove leading and trailing whitespace (Unicode aware)."""
-    return F.regexp_replace(_col(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    """Remove leading and trailing whitespace like ``str.strip()`` (JVM
+    ``btrim`` over the whitespace set, no regex)."""
+    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def collapse_ws(c) -> Column:
@@ -75,10 +87,32 @@ def ascii_only(c) -> Column:
     return F.regexp_replace(_col(c), r"[^\x00-\x7F]", "")
 
 
+@functools.cache
+def _mark_class() -> re.Pattern:
+    """Regex of every code point whose category is Mn in this Python's
+    Unicode database (built from the database, as ranges)."""
+    ranges, start, prev = [], None, None
+    for cp in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(cp)) == "Mn":
+            if start is None:
+                start = cp
+            elif cp != prev + 1:
+                ranges.append((start, prev))
+                start = cp
+            prev = cp
+    if start is not None:
+        ranges.append((start, prev))
+    body = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+    return re.compile(f"[{body}]+")
+
+
+
+
 def _deaccent_one(s: str) -> str:
-    decomposed = unicodedata.normalize("NFD", s)
-    kept = "".join(ch for ch in decomposed if unicodedata.category(ch) != "Mn")
-    return unicodedata.normalize("NFC", kept)
+    """NFD, drop non-spacing marks (category Mn), NFC."""
+    if s.isascii():
+        return s
+    return unicodedata.normalize("NFC", _mark_class().sub("", unicodedata.normalize("NFD", s)))
 
 
 @F.pandas_udf(T.StringType())

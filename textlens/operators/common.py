@@ -30,3 +30,12 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a parameter
     such as ``max_features`` or ``k <= 100``), so no check is needed."""
     return F.broadcast(df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan produced
+    fewer partitions than cores (few large files / row groups), so costly
+    row-wise work is not done by one task.  On a real table with many
+    splits this is a no-op and adds no shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textlens.functions.html import WALK_SCHEMA, walk_pages
 from textlens.functions.text import collapse_ws, strip
-from textlens.operators.common import broadcast_if_small
+from textlens.operators.common import broadcast_if_small, spread
 from textlens.session import checkpoint_dir, ship_package
 
 MIN_NODE_CHARS = 20       # a node is kept when longer than this
@@ -43,7 +43,10 @@ URL_RE = r"^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
 def walk(pages: DataFrame) -> DataFrame:
     """One HTML pass per page (mapInPandas); columns of WALK_SCHEMA."""
     ship_package(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInPandas(walk_pages, WALK_SCHEMA)
+    src = pages.select("page_id", "url", "html")
+    if not src.isStreaming:
+        src = spread(src)
+    return src.mapInPandas(walk_pages, WALK_SCHEMA)
 
 
 def _keep_node(t: Column) -> Column:

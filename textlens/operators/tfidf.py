@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from textlens.functions.text import strip, tfidf_tokens
 from textlens.functions.words import ENGLISH_STOP_WORDS
-from textlens.operators.common import bounded_broadcast
+from textlens.operators.common import bounded_broadcast, broadcast_if_small
 from textlens.session import partition_count
 
 
@@ -43,6 +43,7 @@ class TfidfIndex:
     n_docs: int
     stop_words: tuple = ENGLISH_STOP_WORDS
     bigrams: bool = True
+    max_features: int | None = 5000
 
     def unpersist(self) -> None:
         for df in (self.docs, self.vocab, self.weights):
@@ -127,7 +128,7 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
             raise ValueError("empty vocabulary; perhaps the documents only contain stop words")
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
 
-    raw = tf.join(bounded_broadcast(vocab.select("term", "idf")), "term").select(
+    raw = tf.join(vocab_side(vocab, max_features), "term").select(
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w0")
     )
     norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy("doc_id")))
@@ -135,7 +136,14 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
         StorageLevel.MEMORY_AND_DISK
     )
     return TfidfIndex(docs=docs, vocab=vocab, weights=weights, n_docs=n_docs,
-                      stop_words=tuple(stop_words), bigrams=bigrams)
+                      stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features)
+
+
+def vocab_side(vocab: DataFrame, max_features: int | None) -> DataFrame:
+    """(term, idf) for joins: broadcast without a check when the vocabulary
+    is capped by ``max_features``, else only after a row check."""
+    v = vocab.select("term", "idf")
+    return bounded_broadcast(v) if max_features is not None else broadcast_if_small(v)
 
 
 def query_weights(index: TfidfIndex, queries: DataFrame, key: str = "query_id",
@@ -144,7 +152,7 @@ def query_weights(index: TfidfIndex, queries: DataFrame, key: str = "query_id",
     vocabulary are dropped (inner join with the broadcast vocabulary) and the
     rest L2-normalised; an all-unknown query has no rows (zero vector)."""
     tf = term_counts(queries, key, text_col, index.stop_words, index.bigrams)
-    raw = tf.join(bounded_broadcast(index.vocab.select("term", "idf")), "term").select(
+    raw = tf.join(vocab_side(index.vocab, index.max_features), "term").select(
         key, "term", (F.col("tf") * F.col("idf")).alias("w0")
     )
     norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy(key)))
