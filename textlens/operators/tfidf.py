@@ -132,9 +132,17 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w0")
     )
     norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy("doc_id")))
-    weights = raw.select("doc_id", "term", (F.col("w0") / norm).alias("w")).persist(
-        StorageLevel.MEMORY_AND_DISK
+    # A range repartition on doc_id is the root of the cached plan (a hash
+    # repartition would be elided, the data already being hash-partitioned),
+    # so scans of the cache report doc_id partitioning and searches aggregate
+    # (query, doc) scores and take per-partition top-k without a shuffle.
+    weights = (
+        raw.select("doc_id", "term", (F.col("w0") / norm).alias("w"))
+        .repartitionByRange(parts, "doc_id")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    weights.count()  # materialise: the cached plan then reports its partitioning
+    tf.unpersist()
     return TfidfIndex(docs=docs, vocab=vocab, weights=weights, n_docs=n_docs,
                       stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features)
 

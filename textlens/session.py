@@ -34,6 +34,10 @@ def get_spark(master: str | None = None, partitions: int | None = None, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Spark runs one Python worker per core: keep NumPy's BLAS single
+        # threaded inside each so workers do not oversubscribe the cores.
+        .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
+        .config("spark.executorEnv.OMP_NUM_THREADS", "1")
         .config("spark.driver.memory", os.environ.get("TEXTLENS_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
