@@ -73,3 +73,30 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     logged = spark.read.parquet(f"{base}/out/queries")
     assert logged.count() == bench.count()
+
+
+def test_semantic_model_round_trip(spark):
+    from textlens.operators.semantic import fit_word_vectors, mean_vectors, tokenize, word_vectors
+    from textlens.sources.model_io import SemanticModel, load_semantic_model, save_semantic_model
+
+    toks = tokenize(docs_df(spark, ["alpha beta gamma alpha", "beta delta epsilon"]), "doc_id")
+    model = fit_word_vectors(toks, vector_size=8, max_iter=1)
+    dv = mean_vectors(toks, word_vectors(model), 8)
+    d = tempfile.mkdtemp(prefix="sem-")
+    save_semantic_model(SemanticModel(model, dv), d)
+    back = load_semantic_model(spark, d)
+    assert back.vector_size == 8
+    assert back.doc_vectors.count() == 2
+    assert {r["word"] for r in back.model.getVectors().collect()} == {"alpha", "beta", "gamma", "delta", "epsilon"}
+
+
+def test_not_ready_index(spark):
+    from textlens.plans.search_service import search_with_spelling
+    from textlens.operators.spelling import fallback_dictionary
+
+    req = spark.createDataFrame([(1, "machine learning"), (2, "")], "query_id long, query_text string")
+    res = search_with_spelling(None, fallback_dictionary(spark), req)
+    got = {r["query_id"]: (r["status"], r["error"]) for r in res.requests.collect()}
+    assert got[1] == ("index_not_ready", "Index not loaded. Please rebuild the index first.")
+    assert got[2] == ("invalid", "Query is empty")
+    assert res.results.count() == 0
