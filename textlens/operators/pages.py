@@ -7,6 +7,7 @@ resolution, same-site rules and the breadth-first traversal.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,16 +165,23 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
     crawls = seeds.select("crawl_id", seed_domain(F.col("seed_url")).alias("domain"),
                           strip_fragment(F.col("seed_url")).alias("key"))
     fetchable = pages.select(strip_fragment(F.col("url")).alias("key"), "page_id", "url").groupBy("key").agg(
-        F.min_by("page_id", "page_id").alias("page_id"), F.min_by("url", "page_id").alias("url"))
-    e = edges.select(strip_fragment(F.col("src")).alias("key"), strip_fragment(F.col("dst")).alias("dst"))
-    e = e.where(F.col("dst") != "").distinct()
+        F.min_by("page_id", "page_id").alias("page_id"), F.min_by("url", "page_id").alias("url")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    # Edges are read once per level: keep them (and the fetchable pages)
+    # instead of re-deriving them from their sources every round.
+    e = (
+        edges.select(strip_fragment(F.col("src")).alias("key"), strip_fragment(F.col("dst")).alias("dst"))
+        .where(F.col("dst") != "")
+        .distinct()
+        .join(fetchable.select("key"), "key", "left_semi")  # only fetched pages have out-links
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     dom = broadcast_if_small(crawls.select("crawl_id", "domain"))
-    visited = crawls.select("crawl_id", "key", F.lit(0).alias("depth")).checkpoint()
-    frontier = visited
+    level = crawls.select("crawl_id", "key", F.lit(0).alias("depth")).checkpoint()
+    visited = level
     for depth in range(1, max_depth + 1):
-        fetched = frontier.join(fetchable.select("key"), "key", "left_semi")
         nxt = (
-            fetched.join(e, "key")
+            level.join(e, "key")
             .select("crawl_id", F.col("dst").alias("key"))
             .join(dom, "crawl_id")
             .where(same_site(url_host(F.col("key")), F.col("domain")))
@@ -181,10 +189,13 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
             .distinct()
             .join(visited, ["crawl_id", "key"], "left_anti")
             .select("crawl_id", "key", F.lit(depth).alias("depth"))
-            .checkpoint()
+            .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        visited = visited.unionByName(nxt).checkpoint()
-        frontier = nxt
+        # reliable checkpoint cuts the lineage of this level; persisting
+        # first avoids computing it twice
+        level = nxt.checkpoint()
+        nxt.unpersist()
+        visited = visited.unionByName(level)
     got = visited.join(fetchable, "key")
     if not include_seed:
         got = got.where(F.col("depth") > 0)
