@@ -19,7 +19,8 @@ from textlens.streaming.queries import start_query_stream
 from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
                                          similar_words, tokenize, word_similarity, word_vectors)
 from textlens.operators.pages import crawl_stats, extract_documents, extract_links, traverse, url_host, walk
-from textlens.operators.spelling import check_queries, extend_dictionary, fallback_dictionary, suggest
+from textlens.operators.spelling import (check_queries, dictionary_keys, extend_dictionary, fallback_dictionary,
+                                         suggest)
 from textlens.functions.text import query_word, split_ws
 from textlens.operators.validate import validate_queries
 from textlens.plans.search_service import search_with_spelling
@@ -101,9 +102,29 @@ def q_index_stats(spark, sf_dir):
     return index_stats(postings_table(spark, sf_dir), idx.docs, idx.vocab)
 
 
+_DICT_CACHE: dict[tuple, DataFrame] = {}
+
+
 def spell_dictionary(spark, sf_dir) -> DataFrame:
-    """Fallback word list plus the corpus vocabulary (bigrams included)."""
-    return extend_dictionary(fallback_dictionary(spark), tfidf_index(spark, sf_dir).vocab)
+    """Fallback word list plus the corpus vocabulary (bigrams included);
+    built once per session and folder."""
+    key = (id(spark), sf_dir)
+    if key not in _DICT_CACHE:
+        d = extend_dictionary(fallback_dictionary(spark), tfidf_index(spark, sf_dir).vocab)
+        _DICT_CACHE[key] = d.persist()
+    return _DICT_CACHE[key]
+
+
+_KEYS_CACHE: dict[tuple, DataFrame] = {}
+
+
+def spell_keys(spark, sf_dir) -> DataFrame:
+    """Deletion-neighbourhood keys of the dictionary, built once and reused
+    by every spelling query (persisted)."""
+    key = (id(spark), sf_dir)
+    if key not in _KEYS_CACHE:
+        _KEYS_CACHE[key] = dictionary_keys(spell_dictionary(spark, sf_dir)).persist()
+    return _KEYS_CACHE[key]
 
 
 def misspelled_queries(spark, sf_dir) -> DataFrame:
@@ -132,11 +153,13 @@ def q_spell_unknown(spark, sf_dir):
 
 
 def q_spell_suggest(spark, sf_dir):
-    return suggest(_query_words(misspelled_queries(spark, sf_dir)), spell_dictionary(spark, sf_dir))
+    return suggest(_query_words(misspelled_queries(spark, sf_dir)), spell_dictionary(spark, sf_dir),
+                   dict_keys=spell_keys(spark, sf_dir))
 
 
 def q_check_queries(spark, sf_dir):
-    r = check_queries(misspelled_queries(spark, sf_dir), spell_dictionary(spark, sf_dir))
+    r = check_queries(misspelled_queries(spark, sf_dir), spell_dictionary(spark, sf_dir),
+                      dict_keys=spell_keys(spark, sf_dir))
     sugg = F.array_join(F.transform(F.array_sort(F.map_entries("suggestions")),
                                     lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "|"))), ";")
     return r.select("query_id", "original", "corrected", "has_errors",
@@ -145,7 +168,8 @@ def q_check_queries(spark, sf_dir):
 
 def q_search_with_spelling(spark, sf_dir):
     req = misspelled_queries(spark, sf_dir).withColumn("top_k", F.lit(5)).withColumn("auto_correct", F.lit(True))
-    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req, preview=False)
+    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req, preview=False,
+                               dict_keys=spell_keys(spark, sf_dir))
     return res.results
 
 
@@ -285,7 +309,8 @@ def q_results_csv(spark, sf_dir):
 
 def q_results_json(spark, sf_dir):
     req = misspelled_queries(spark, sf_dir).withColumn("top_k", F.lit(5)).withColumn("auto_correct", F.lit(True))
-    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req)
+    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir), req,
+                               dict_keys=spell_keys(spark, sf_dir))
     return results_json(res.requests, res.results)
 
 
