@@ -84,7 +84,7 @@ _POSTINGS_CACHE: dict[tuple, DataFrame] = {}
 def postings_table(spark, sf_dir) -> DataFrame:
     key = (id(spark), sf_dir)
     if key not in _POSTINGS_CACHE:
-        _POSTINGS_CACHE[key] = build_postings(tfidf_index(spark, sf_dir).docs)
+        _POSTINGS_CACHE[key] = build_postings(tfidf_index(spark, sf_dir).docs).persist()
     return _POSTINGS_CACHE[key]
 
 
@@ -263,28 +263,45 @@ def rule_vectors(words: DataFrame) -> DataFrame:
 def q_word_mean_vectors(spark, sf_dir):
     words = tokenize(table(spark, sf_dir, "benchmark"), "item_id").select(
         F.explode("tokens").alias("word")).distinct()
-    docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
-    mv = mean_vectors(docs, rule_vectors(words), 3, "doc_id")
+    mv = mean_vectors(doc_tokens(spark, sf_dir), rule_vectors(words), 3, "doc_id")
     return mv.select("doc_id", *[F.round(F.col("vector")[i], 6).alias(f"v{i}") for i in range(3)])
 
 
 _W2V_CACHE: dict[tuple, object] = {}
+_TOKENS_CACHE: dict[tuple, DataFrame] = {}
+_DV_CACHE: dict[tuple, DataFrame] = {}
+
+
+def doc_tokens(spark, sf_dir) -> DataFrame:
+    """(doc_id, tokens) of the documents table, semantic tokeniser; built
+    once per session and folder (persisted)."""
+    key = (id(spark), sf_dir)
+    if key not in _TOKENS_CACHE:
+        _TOKENS_CACHE[key] = tokenize(table(spark, sf_dir, "documents"), "doc_id").persist()
+    return _TOKENS_CACHE[key]
 
 
 def w2v_model(spark, sf_dir):
     key = (id(spark), sf_dir)
     if key not in _W2V_CACHE:
-        docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
-        _W2V_CACHE[key] = fit_word_vectors(docs, vector_size=50,
+        _W2V_CACHE[key] = fit_word_vectors(doc_tokens(spark, sf_dir), vector_size=50,
                                            num_partitions=spark.sparkContext.defaultParallelism)
     return _W2V_CACHE[key]
 
 
+def doc_vectors(spark, sf_dir) -> DataFrame:
+    """(doc_id, vector): mean trained word vectors of each document."""
+    key = (id(spark), sf_dir)
+    if key not in _DV_CACHE:
+        model = w2v_model(spark, sf_dir)
+        _DV_CACHE[key] = mean_vectors(doc_tokens(spark, sf_dir), word_vectors(model), model.getVectorSize(),
+                                      "doc_id").persist()
+    return _DV_CACHE[key]
+
+
 def q_semantic_search(spark, sf_dir):
     model = w2v_model(spark, sf_dir)
-    docs = tokenize(table(spark, sf_dir, "documents"), "doc_id")
-    dv = mean_vectors(docs, word_vectors(model), model.getVectorSize(), "doc_id")
-    return semantic_search(model, dv, bench_queries(spark, sf_dir), 5)
+    return semantic_search(model, doc_vectors(spark, sf_dir), bench_queries(spark, sf_dir), 5)
 
 
 def _bench_tokens(spark, sf_dir):
