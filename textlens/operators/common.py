@@ -37,5 +37,9 @@ def spread(df: DataFrame) -> DataFrame:
     fewer partitions than cores (few large files / row groups), so costly
     row-wise work is not done by one task.  On a real table with many
     splits this is a no-op and adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df

@@ -136,12 +136,12 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
     # repartition would be elided, the data already being hash-partitioned),
     # so scans of the cache report doc_id partitioning and searches aggregate
     # (query, doc) scores and take per-partition top-k without a shuffle.
-    weights = (
-        raw.select("doc_id", "term", (F.col("w0") / norm).alias("w"))
-        .repartitionByRange(parts, "doc_id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # The range partitioner samples its input in a separate job: keep the
+    # normalised weights so they are computed once.
+    normed = raw.select("doc_id", "term", (F.col("w0") / norm).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
+    weights = normed.repartitionByRange(parts, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
     weights.count()  # materialise: the cached plan then reports its partitioning
+    normed.unpersist()
     tf.unpersist()
     return TfidfIndex(docs=docs, vocab=vocab, weights=weights, n_docs=n_docs,
                       stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features)
