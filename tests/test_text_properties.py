@@ -1,0 +1,74 @@
+"""Property checks: the Spark column expressions equal the Python string
+semantics they reproduce, on generated text (one Spark job per property)."""
+
+import re
+import string
+import unicodedata
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from textlens.functions.text import (clean_word, query_word, semantic_tokens, split_ws, strip, tfidf_tokens)
+
+ALPHABET = (
+    "abcdefghijklmnopqrstuvwxyzABCXYZ0123456789_"
+    "éèêëàâäçñößüÉÀÇ" "́̈"             # accents, combining marks
+    "²³¹½" "٣"                                    # other numerics
+    " \t\n\r\x0b\x0c\x1c\x85\xa0 　"     # whitespace incl. unicode spaces
+    "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"           # ASCII punctuation
+    "«»—…·" "ΣσςΑ" "İı" "中文字"
+)
+
+texts = st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=50, max_size=80)
+SETTINGS = settings(max_examples=3, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string")
+
+
+@SETTINGS
+@given(texts)
+def test_strip_and_split(spark, values):
+    rows = frame(spark, values).select("i", strip("s").alias("a"), split_ws("s").alias("b")).collect()
+    for r in rows:
+        v = values[r["i"]]
+        assert r["a"] == v.strip()
+        assert list(r["b"]) == v.split()
+
+
+@SETTINGS
+@given(texts)
+def test_tfidf_tokens(spark, values):
+    rows = frame(spark, values).select("i", tfidf_tokens("s").alias("t")).collect()
+    for r in rows:
+        assert list(r["t"]) == re.findall(r"(?u)\b\w\w+\b", values[r["i"]].lower())
+
+
+@SETTINGS
+@given(texts)
+def test_query_and_position_words(spark, values):
+    df = frame(spark, values).select("i", F.posexplode(split_ws(F.lower("s"))).alias("p", "w"))
+    rows = df.select("i", "p", query_word(F.col("w")).alias("q"), clean_word(F.col("w")).alias("c")).collect()
+    got = {(r["i"], r["p"]): (r["q"], r["c"]) for r in rows}
+    for i, v in enumerate(values):
+        for p, w in enumerate(v.lower().split()):
+            assert got[(i, p)] == (w.strip(string.punctuation), "".join(ch for ch in w if ch.isalnum()))
+
+
+def py_semantic(text):
+    low = text.lower()
+    d = unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFD", low)
+                                             if unicodedata.category(c) != "Mn"))
+    toks = [m.group() for m in re.finditer(r"(((?![\d])\w)+)", d, re.UNICODE)]
+    return [t for t in toks if 2 <= len(t) <= 15 and not t.startswith("_")]
+
+
+@SETTINGS
+@given(texts)
+def test_semantic_tokens(spark, values):
+    rows = frame(spark, values).select("i", semantic_tokens(F.col("s")).alias("t")).collect()
+    for r in rows:
+        assert list(r["t"]) == py_semantic(values[r["i"]]), values[r["i"]]
