@@ -328,7 +328,7 @@ WITH cells AS (
   SELECT label, unnest(embedding) AS x, unnest(generate_series(1, len(embedding))) AS i FROM embeddings
 ),
 cent AS (
-  SELECT label AS query_id, list(m ORDER BY i) AS q
+  SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY i) AS q
   FROM (SELECT label, i, avg(x) AS m FROM cells GROUP BY label, i) GROUP BY label
 ),
 d AS (
@@ -400,7 +400,8 @@ FROM (
        count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM plinks GROUP BY host""",
     "traverse": "WITH RECURSIVE " + TRAVERSE + "\nSELECT crawl_id, page_id, url, depth, rank FROM visits",
     "crawl_stats": "WITH RECURSIVE " + TRAVERSE + "," + PAGE_DOCS + """
-SELECT crawl_id, count(*) AS total_pages, count_if(ok) AS successful_pages, count_if(NOT ok) AS failed_pages,
+SELECT crawl_id, count(*) AS total_pages, CAST(count_if(ok) AS BIGINT) AS successful_pages,
+       CAST(count_if(NOT ok) AS BIGINT) AS failed_pages,
        format('{:.1f}%', CASE WHEN count(*) > 0 THEN count_if(ok) * 100.0 / count(*) ELSE 0.0 END) AS success_rate
 FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id""",
     "knn_l2": KNN_L2,
