@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textlens.operators.common import release
 from textlens.operators.search import search
 from textlens.operators.tfidf import TfidfIndex
 from textlens.plans.search_service import search_with_spelling
@@ -37,6 +38,7 @@ def start_query_stream(spark: SparkSession, source: str, schema: str, index: Tfi
         hits.select("query_id", "rank", "doc_id", "score").write.mode("overwrite").parquet(
             f"{out}/results/batch={batch_id}")
         query_log(batch).write.mode("overwrite").parquet(f"{out}/queries/batch={batch_id}")
+        release()  # drop the batch's cached broadcast sides
 
     writer = stream.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
