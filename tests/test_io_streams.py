@@ -100,3 +100,26 @@ def test_not_ready_index(spark):
     assert got[1] == ("index_not_ready", "Index not loaded. Please rebuild the index first.")
     assert got[2] == ("invalid", "Query is empty")
     assert res.results.count() == 0
+
+
+def test_size_check_keeps_shared_cache(spark):
+    from textlens.operators.common import broadcast_if_small, release
+
+    shared = spark.range(100).persist()
+    shared.count()
+    broadcast_if_small(shared, max_rows=10)  # too big: must not drop the caller's cache
+    assert shared.is_cached
+    small = spark.range(5)
+    broadcast_if_small(small, max_rows=10)
+    release()
+    assert shared.is_cached
+
+
+def test_size_check_keeps_cache_behind_projection(spark):
+    from textlens.operators.common import broadcast_if_small
+
+    base = spark.range(100).select(F.col("id").alias("word"), (F.col("id") * 2).alias("vector")).repartition(2).persist()
+    base.count()
+    rdds = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    broadcast_if_small(base.select("word", "vector"), max_rows=10)
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == rdds

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,32 +16,21 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-_HELD: list[DataFrame] = []
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after its row count is checked.
 
-    The side is persisted before the check, so the rows counted are the rows
-    broadcast: its upstream plan (e.g. a spell check feeding a search) runs
-    once, not once for the check and again for the join.  Beyond the bound
-    the cache is dropped and the DataFrame returned as is, so the join is
-    planned as a shuffle join (sort-merge / shuffle-hash) and AQE may still
-    split skewed partitions.  ``release()`` drops the kept small sides.
+    Beyond the bound the DataFrame is returned as is, so the join is planned
+    as a shuffle join (sort-merge / shuffle-hash) and AQE may still split
+    skewed partitions or convert it at run time from real shuffle sizes.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits(kept, max_rows):
-        _HELD.append(kept)
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def release() -> None:
-    """Unpersist the small sides kept by ``broadcast_if_small`` (call after
-    each streaming micro-batch or request batch)."""
-    while _HELD:
-        _HELD.pop().unpersist()
+    """Hook called after each streaming micro-batch.  Size checks keep no
+    state (the checked side is not cached: caching a projection of a cached
+    table would share, and on release drop, the caller's cache), so there is
+    nothing to free."""
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
