@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textlens.llm.common import BLANKS, let, materialise, words
+from textlens.llm.common import WORD, let, materialise, words
 from textlens.llm.votes import LabelModel, fit_votes
 
 SYMBOLS = "[#*$%&|<>]"
@@ -30,13 +30,12 @@ RULES: dict[str, tuple[str, float, float, str]] = {
     "short_words": ("mean_word", 2.5, 3.5, "low"),
     "long_words": ("mean_word", 9.0, 15.0, "high"),
     "symbols": ("symbol_share", 0.02, 0.1, "high"),
-    "letters": ("letter_share", 0.6, 0.72, "low"),
-    "stops": ("stop_share", 0.3, 0.5, "high"),
+    "letters": ("letter_share", 0.75, 0.88, "low"),
     "dup_lines": ("dup_line_share", 0.1, 0.3, "high"),
     "repeats": ("repeat_share", 0.05, 0.2, "high"),
     "variety": ("distinct_share", 0.2, 0.4, "low"),
 }
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters", "n_stops",
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_other",
          "n_lines", "n_distinct", "n_chars")
 
 
@@ -70,9 +69,9 @@ def repeated_words(ws: Column, window: int = WINDOW) -> Column:
             h.alias("h"), i.alias("i")))), covered)).otherwise(F.lit(0).cast("long"))
 
     def windows(w: Column) -> Column:
-        return F.when(F.size(w) <= window, F.array().cast("array<bigint>")).otherwise(F.transform(
-            F.sequence(F.lit(0), F.size(w) - window),
-            lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(window)))))
+        hashed = F.transform(w, lambda x, i: F.xxhash64(x, *(F.get(w, i + k) for k in range(1, window))))
+        return F.when(F.size(w) > window, F.slice(hashed, F.lit(1), F.size(w) - (window - 1))).otherwise(
+            F.array().cast("array<bigint>"))
 
     return let(ws, lambda w: let(windows(w), of))
 
@@ -82,15 +81,14 @@ def statistics(text: Column) -> Column:
     t = F.coalesce(text.cast("string"), F.lit(""))
 
     def stats(ws: Column) -> Column:
-        lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.regexp_replace(x, BLANKS, "")) > 0)
+        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
         return let(lines, lambda ls: F.struct(
             F.size(ws).cast("long").alias("n_words"),
             F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
             _pieces(t, SYMBOLS).alias("n_symbols"),
             (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
             repeated_words(ws).alias("n_repeat_words"),
-            F.length(F.regexp_replace(t, r"\P{L}+", "")).cast("long").alias("n_letters"),
-            _pieces(t, "[.!?]").alias("n_stops"),
+            _pieces(t, r"[^\p{L}\x20\x09-\x0D]").alias("n_other"),
             F.size(ls).cast("long").alias("n_lines"),
             F.size(F.array_distinct(ws)).cast("long").alias("n_distinct"),
             F.length(t).cast("long").alias("n_chars")))
@@ -103,7 +101,7 @@ def votes(q: Column) -> dict[str, Column]:
     n = F.greatest(q["n_words"], F.lit(1)).cast("double")
     value = {
         "n_words": q["n_words"].cast("double"), "mean_word": q["word_chars"] / n, "symbol_share": q["n_symbols"] / n,
-        "letter_share": q["n_letters"] / F.greatest(q["n_chars"], F.lit(1)), "stop_share": q["n_stops"] / n,
+        "letter_share": 1 - q["n_other"] / F.greatest(q["word_chars"], F.lit(1)),
         "dup_line_share": q["n_dup_lines"] / F.greatest(q["n_lines"], F.lit(1)),
         "repeat_share": q["n_repeat_words"] / n, "distinct_share": q["n_distinct"] / n}
     out = {}
