@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textlens.llm import mixing, quality, simhash
+from textlens.llm import mixing, packing, pii, quality, simhash
 from textlens.llm.common import materialise, table
 
 
@@ -22,14 +22,24 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.drop_near_duplicates(docs)
 
 
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("redact_pii", redact_pii),
     ("mix_sources", mix_sources),
+    ("pack", pack),
 ]
 
 #: EM, XXH64 fingerprints and tokenizers are beyond SQL; the stages are tested
