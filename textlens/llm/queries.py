@@ -4,7 +4,7 @@ DuckDB SQL.  Every query reads the whole of its table."""
 from __future__ import annotations
 
 import corpus_pipeline
-from textlens.llm import mixing, packing, pii, quality, repeats, simhash
+from textlens.llm import langid, mixing, packing, pii, quality, repeats, simhash
 from textlens.llm.common import table
 
 
@@ -17,6 +17,7 @@ QUERIES = {
     "op2_repeated_strings": _documents(repeats.repeats_query),
     "op3_simhash_near_dedup": _documents(simhash.simhash_query),
     "op4_quality_rules": _documents(quality.quality_query),
+    "op8_language_id": _documents(langid.langid_query),
     "op9_retrieval_packing": _documents(packing.pack_query),
     "op10_mix_sources": _documents(mixing.mix_query),
     "pipeline": corpus_pipeline.run,
