@@ -11,7 +11,9 @@ stdlib ``html.parser`` pass keeps a stack of open elements (closing an open
     and not inside a table, or
   - inside ``div#bodyContent`` and not inside a table or ``div.navbox``, or
   - inside ``article`` and not inside ``nav`` or ``aside``
-* ``href`` values of ``a`` and ``area`` elements, in document order
+* ``href`` values of ``a`` and ``area`` elements, in document order, and of
+  the first ``base`` element
+* whether the parser gave up on the page
 
 Everything else (filters, joins, lengths, links, traversal) is Spark SQL.
 """
@@ -39,6 +41,7 @@ class _Walker(HTMLParser):
         self.title = None
         self.nodes: list[str] = []
         self.links: list[str] = []
+        self.base = None
 
     # -- tree maintenance
     def _close(self, tag: str) -> None:
@@ -51,6 +54,8 @@ class _Walker(HTMLParser):
         a = {k: (v or "") for k, v in attrs}
         if tag in ("a", "area") and "href" in a:
             self.links.append(a["href"])
+        if tag == "base" and self.base is None and "href" in a:
+            self.base = a["href"]
         if tag in CLOSES_P and any(t == "p" for t, _ in self.stack):
             self._close("p")
         if tag not in VOID:
@@ -60,6 +65,8 @@ class _Walker(HTMLParser):
         a = {k: (v or "") for k, v in attrs}
         if tag in ("a", "area") and "href" in a:
             self.links.append(a["href"])
+        if tag == "base" and self.base is None and "href" in a:
+            self.base = a["href"]
 
     def handle_endtag(self, tag):
         self._close(tag)
@@ -105,21 +112,22 @@ class _Walker(HTMLParser):
 
 def walk_html(html: str | None) -> dict:
     w = _Walker()
+    failed = False
     if html:
         try:
             w.feed(html)
             w.close()
-        except Exception:  # malformed beyond repair: keep what was read
-            pass
+        except (AssertionError, ValueError):  # malformed beyond repair: the page counts as failed
+            failed = True
     return {
         "h1_id": w.h1_id, "h1_class": w.h1_class, "h1_any": w.h1_any, "title_tag": w.title,
-        "nodes": w.nodes, "hrefs": w.links,
+        "nodes": w.nodes, "hrefs": w.links, "base_href": w.base, "failed": failed,
     }
 
 
 WALK_SCHEMA = (
     "page_id long, url string, h1_id string, h1_class string, h1_any string, title_tag string, "
-    "nodes array<string>, hrefs array<string>"
+    "nodes array<string>, hrefs array<string>, base_href string, failed boolean"
 )
 
 
@@ -129,7 +137,8 @@ def walk_pages(batches):
 
     for pdf in batches:
         out = [walk_html(h) for h in pdf["html"]]
-        res = pd.DataFrame(out, columns=["h1_id", "h1_class", "h1_any", "title_tag", "nodes", "hrefs"])
+        res = pd.DataFrame(out, columns=["h1_id", "h1_class", "h1_any", "title_tag", "nodes", "hrefs",
+                                          "base_href", "failed"])
         res.insert(0, "url", pdf["url"].values)
         res.insert(0, "page_id", pdf["page_id"].values)
         yield res

@@ -26,13 +26,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def release() -> None:
-    """Hook called after each streaming micro-batch.  Size checks keep no
-    state (the checked side is not cached: caching a projection of a cached
-    table would share, and on release drop, the caller's cache), so there is
-    nothing to free."""
-
-
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a parameter
     such as ``max_features`` or ``k <= 100``), so no check is needed."""
@@ -43,10 +36,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Round-robin ``df`` over the cluster's cores when its scan produced
     fewer partitions than cores (few large files / row groups), so costly
     row-wise work is not done by one task.  On a real table with many
-    splits this is a no-op and adds no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Connect session): leave as is
+    splits this is a no-op and adds no shuffle.  Only inputs that are plain
+    file scans are looked at; anything else is left as it is."""
+    if not df.inputFiles():
         return df
-    return df.repartition(cores) if parts < cores else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -7,7 +7,6 @@ resolution, same-site rules and the breadth-first traversal.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +35,7 @@ IGNORED_EXTENSIONS = (
 # URL schemes a link may use.
 LINK_SCHEMES = ("http", "https", "file", "ftp")
 
-# A path segment other than ".." followed by "/../".
-DOT_DOT = r"/(?:[^/?#.][^/?#]*|\.[^/?#.][^/?#]*|\.\.[^/?#]+)/\.\./"
+IGNORED_RE = r"\.(?:" + "|".join(e.replace(".", r"\.") for e in IGNORED_EXTENSIONS) + r")$"
 URL_RE = r"^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
@@ -50,30 +48,32 @@ def walk(pages: DataFrame) -> DataFrame:
     return src.mapInPandas(walk_pages, WALK_SCHEMA)
 
 
-def _keep_node(t: Column) -> Column:
+def _keep_node(t: Column, min_chars: int) -> Column:
     low = F.lower(t)
     return (
-        (F.length(t) > MIN_NODE_CHARS)
+        (F.length(t) > min_chars)
         & ~t.startswith("[")
         & (F.instr(F.substring(low, 1, 20), "wikipedia") == 0)
         & (F.instr(F.substring(low, 1, 10), "edit") == 0)
     )
 
 
-def extract_documents(walked: DataFrame) -> DataFrame:
+def extract_documents(walked: DataFrame, max_content: int = MAX_CONTENT_CHARS,
+                      min_content: int = MIN_CONTENT_CHARS, min_node: int = MIN_NODE_CHARS) -> DataFrame:
     """(page_id, url, title, content, n_chars, ok): title by fallback chain;
-    content = kept nodes joined by a space, whitespace collapsed, cut to 5000
-    characters; ``ok`` is false for content under 150 characters."""
+    content = kept nodes joined by a space, whitespace collapsed, cut to
+    ``max_content`` characters; ``ok`` is false for content under
+    ``min_content`` characters and for pages the parser could not read."""
     nz = lambda c: F.when(F.col(c) != "", F.col(c))
     title = F.coalesce(nz("h1_id"), nz("h1_class"), nz("h1_any"), nz("title_tag"), F.lit(UNTITLED))
-    kept = F.filter(F.transform("nodes", lambda x: strip(x)), _keep_node)
+    kept = F.filter(F.transform("nodes", lambda x: strip(x)), lambda t: _keep_node(t, min_node))
     content = collapse_ws(F.array_join(kept, " "))
-    out = walked.select("page_id", "url", title.alias("title"), content.alias("full"))
+    out = walked.select("page_id", "url", title.alias("title"), content.alias("full"), "failed")
     return out.select(
         "page_id", "url", "title",
-        F.substring("full", 1, MAX_CONTENT_CHARS).alias("content"),
-        F.length(F.substring("full", 1, MAX_CONTENT_CHARS)).cast("bigint").alias("n_chars"),
-        (F.length("full") >= MIN_CONTENT_CHARS).alias("ok"),
+        F.substring("full", 1, max_content).alias("content"),
+        F.length(F.substring("full", 1, max_content)).cast("bigint").alias("n_chars"),
+        ((F.length("full") >= min_content) & ~F.col("failed")).alias("ok"),
     )
 
 
@@ -100,43 +100,56 @@ def seed_domain(url: Column) -> Column:
     return F.lower(F.regexp_replace(d, r":\d*$", ""))
 
 
+def remove_dot_segments(path: Column) -> Column:
+    """RFC 3986 5.2.4 on an absolute path: one fold over its segments, where
+    ``..`` drops the segment before it and never the root."""
+    segments = F.split(path, "/")
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == ".", acc)
+        .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
+        .otherwise(F.concat(acc, F.array(s))))
+    closed = F.element_at(segments, -1).isin(".", "..")
+    return F.when(path.contains("/."), F.concat(F.array_join(kept, "/"), F.when(closed, "/").otherwise(""))).otherwise(path)
+
+
 def resolve(base: Column, href: Column) -> Column:
-    """Resolve ``href`` against ``base`` (RFC 3986 reference forms:
-    absolute, //authority, /path, ?query, #fragment, relative path with
-    ``.``/``..`` segments)."""
+    """Resolve ``href`` against ``base`` (RFC 3986 5.2: absolute, //authority,
+    /path, ?query, #fragment, relative path).  Dot segments are removed from
+    the path only, never from the query or fragment."""
     h = F.regexp_replace(href, r"^[\t\n\f\r ]+|[\t\n\f\r ]+$", "")
     scheme = F.regexp_extract(base, URL_RE, 1)
     auth = F.regexp_extract(base, URL_RE, 2)
     path = F.regexp_extract(base, URL_RE, 4)
     query = F.regexp_extract(base, URL_RE, 5)
     root = F.concat(scheme, F.lit(":"), auth)
-    base_dir = F.regexp_replace(path, "[^/]*$", "")
-    rel = F.concat(root, F.when(base_dir == "", F.lit("/")).otherwise(base_dir), h)
-    out = (
-        F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(root, h))
-        .when(h.startswith("?"), F.concat(root, path, h))
-        .when(h.startswith("#"), F.concat(root, path, query, h))
-        .when(h == "", F.concat(root, path, query))
-        .otherwise(rel)
+    own_scheme = F.regexp_extract(h, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    rest = F.regexp_replace(h, r"^[A-Za-z][A-Za-z0-9+.-]*:", "")
+    own_auth = F.regexp_extract(rest, r"^(//[^/?#]*)", 1)
+    own_path = F.regexp_extract(F.regexp_replace(rest, r"^//[^/?#]*", ""), r"^[^?#]*", 0)
+    tail = F.regexp_extract(rest, r"^[^?#]*(.*)$", 1)
+    merged = F.concat(F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, "[^/]*$", "")), own_path)
+    return (
+        F.when((own_scheme != "") & (own_auth != ""), F.concat(own_scheme, own_auth, remove_dot_segments(own_path), tail))
+        .when(own_scheme != "", h)
+        .when(own_auth != "", F.concat(scheme, F.lit(":"), own_auth, remove_dot_segments(own_path), tail))
+        .when(own_path.startswith("/"), F.concat(root, remove_dot_segments(own_path), tail))
+        .when(own_path != "", F.concat(root, remove_dot_segments(merged), tail))
+        .when(tail.startswith("?"), F.concat(root, path, tail))
+        .otherwise(F.concat(root, path, query, tail))
     )
-    # remove dot segments
-    out = F.regexp_replace(out, r"/(\./)+", "/")
-    for _ in range(3):
-        out = F.regexp_replace(out, DOT_DOT, "/")
-    return out
 
 
 def extract_links(walked: DataFrame) -> DataFrame:
-    """(page_id, link): distinct per page, resolved against the page URL,
-    followable scheme, no ignored file extension.  Fragments are kept here
-    (links differ) and dropped when pages are visited."""
-    e = walked.select("page_id", "url", F.posexplode("hrefs").alias("pos", "href"))
-    link = resolve(F.col("url"), F.col("href"))
-    e = e.select("page_id", "pos", link.alias("link"))
-    ext = F.lower(F.regexp_extract(F.regexp_extract(F.col("link"), URL_RE, 4), r"\.([^./]*)$", 1))
-    ok = F.lower(F.regexp_extract("link", URL_RE, 1)).isin(*LINK_SCHEMES) & ~ext.isin(*IGNORED_EXTENSIONS)
+    """(page_id, pos, link): distinct per page, resolved against the page's
+    ``base`` element or else its URL, followable scheme, no ignored file
+    ending.  Fragments are kept here (links differ) and dropped when pages
+    are visited."""
+    base = F.when(F.col("base_href") != "", resolve(F.col("url"), F.col("base_href"))).otherwise(F.col("url"))
+    e = walked.select("page_id", base.alias("base"), F.posexplode("hrefs").alias("pos", "href"))
+    e = e.select("page_id", "pos", resolve(F.col("base"), F.col("href")).alias("link"))
+    path = F.lower(F.regexp_extract(F.col("link"), URL_RE, 4))
+    ok = F.lower(F.regexp_extract("link", URL_RE, 1)).isin(*LINK_SCHEMES) & ~path.rlike(IGNORED_RE)
     first = e.where(ok).groupBy("page_id", "link").agg(F.min("pos").alias("pos"))
     return first.select("page_id", "pos", "link")
 
@@ -155,8 +168,10 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
     without fragment) at its smallest depth; links are followed only to the
     seed's site (host equal to it or a subdomain) and to depth ``max_depth``.
     Each crawl returns at most ``max_pages`` pages ordered by (depth, url).
-    One join + anti join per level; lineage is cut with a reliable
-    checkpoint each level.
+    A crawl that holds ``max_pages`` pages after a level goes no deeper: later
+    pages could not be among them.  Only pages that can be fetched are kept.
+    One join + anti join per level; edges and levels are cut off their
+    lineage with reliable checkpoints, so nothing stays cached afterwards.
 
     Returns (crawl_id, page_id, url, depth INT, rank INT).
     """
@@ -165,23 +180,23 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
     crawls = seeds.select("crawl_id", seed_domain(F.col("seed_url")).alias("domain"),
                           strip_fragment(F.col("seed_url")).alias("key"))
     fetchable = pages.select(strip_fragment(F.col("url")).alias("key"), "page_id", "url").groupBy("key").agg(
-        F.min_by("page_id", "page_id").alias("page_id"), F.min_by("url", "page_id").alias("url")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    # Edges are read once per level: keep them (and the fetchable pages)
-    # instead of re-deriving them from their sources every round.
+        F.min_by("page_id", "page_id").alias("page_id"), F.min_by("url", "page_id").alias("url")).checkpoint()
     e = (
         edges.select(strip_fragment(F.col("src")).alias("key"), strip_fragment(F.col("dst")).alias("dst"))
         .where(F.col("dst") != "")
         .distinct()
         .join(fetchable.select("key"), "key", "left_semi")  # only fetched pages have out-links
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .join(fetchable.select(F.col("key").alias("dst")), "dst", "left_semi")  # and only they are visited
+        .checkpoint()
     )
     dom = broadcast_if_small(crawls.select("crawl_id", "domain"))
     level = crawls.select("crawl_id", "key", F.lit(0).alias("depth")).checkpoint()
     visited = level
     for depth in range(1, max_depth + 1):
+        counted = visited if include_seed else visited.where(F.col("depth") > 0)
+        full = counted.groupBy("crawl_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max_pages)
         nxt = (
-            level.join(e, "key")
+            level.join(full, "crawl_id", "left_anti").join(e, "key")
             .select("crawl_id", F.col("dst").alias("key"))
             .join(dom, "crawl_id")
             .where(same_site(url_host(F.col("key")), F.col("domain")))
@@ -189,12 +204,8 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
             .distinct()
             .join(visited, ["crawl_id", "key"], "left_anti")
             .select("crawl_id", "key", F.lit(depth).alias("depth"))
-            .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        # reliable checkpoint cuts the lineage of this level; persisting
-        # first avoids computing it twice
         level = nxt.checkpoint()
-        nxt.unpersist()
         visited = visited.unionByName(level)
     got = visited.join(fetchable, "key")
     if not include_seed:
@@ -204,14 +215,39 @@ def traverse(seeds: DataFrame, edges: DataFrame, pages: DataFrame, max_pages: in
     return ranked.select("crawl_id", "page_id", "url", F.col("depth").cast("int").alias("depth"), "rank")
 
 
-def crawl_stats(visits: DataFrame, documents: DataFrame, key: str = "crawl_id") -> DataFrame:
-    """Per crawl: total, successful and failed pages and the success rate
-    text (``%.1f%%``, 0 when nothing was fetched)."""
-    j = visits.join(documents.select("page_id", "ok"), "page_id")
+# Why a crawl ended.
+FINISHED, PAGE_LIMIT = "finished", "closespider_pagecount"
+
+
+def crawl_stats(visits: DataFrame, documents: DataFrame, key: str = "crawl_id", seeds: DataFrame | None = None,
+                max_pages: int = MAX_PAGES, started: Column | None = None, ended: Column | None = None) -> DataFrame:
+    """Per crawl: total, successful and failed pages, the success rate text
+    (``%.1f%%``, 0 when nothing was fetched), start and end time and the
+    reason of the end.  With ``seeds`` (one row per crawl) crawls that visited
+    no page have a row of zeros.  The times are columns of ``seeds`` or
+    literals; by default the time of the query."""
+    pages = documents.select("page_id", "ok")
+    if seeds is not None:
+        start = seeds.select(key, (started if started is not None else F.current_timestamp()).alias("start_time"),
+                             (ended if ended is not None else F.current_timestamp()).alias("end_time"))
+        j = start.join(visits.select(key, "page_id").join(pages, "page_id"), key, "left")
+    else:
+        j = visits.select(key, "page_id").join(pages, "page_id").select(
+            "*", (started if started is not None else F.current_timestamp()).alias("start_time"),
+            (ended if ended is not None else F.current_timestamp()).alias("end_time"))
     agg = j.groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_pages"),
+        F.count("page_id").alias("total_pages"),
         F.count_if("ok").alias("successful_pages"),
         F.count_if(~F.col("ok")).alias("failed_pages"),
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
     )
     rate = F.when(F.col("total_pages") > 0, F.col("successful_pages") * 100.0 / F.col("total_pages")).otherwise(0.0)
-    return agg.withColumn("success_rate", F.format_string("%.1f%%", rate))
+    reason = F.when(F.col("total_pages") >= max_pages, F.lit(PAGE_LIMIT)).otherwise(F.lit(FINISHED))
+    return agg.select(key, "total_pages", "successful_pages", "failed_pages",
+                      F.format_string("%.1f%%", rate).alias("success_rate"), "start_time", "end_time",
+                      reason.alias("close_reason"))
+
+
+def write_crawl_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON object per crawl."""
+    stats.write.mode(mode).json(path)

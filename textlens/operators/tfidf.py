@@ -132,21 +132,29 @@ def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_
         "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w0")
     )
     norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy("doc_id")))
-    # A range repartition on doc_id is the root of the cached plan (a hash
-    # repartition would be elided, the data already being hash-partitioned),
-    # so scans of the cache report doc_id partitioning and searches aggregate
-    # (query, doc) scores and take per-partition top-k without a shuffle.
     # The range partitioner samples its input in a separate job: keep the
     # normalised weights so they are computed once.
     normed = raw.select("doc_id", "term", (F.col("w0") / norm).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
-    weights = normed.repartitionByRange(parts, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
-    weights.count()  # materialise: the cached plan then reports its partitioning
+    weights = by_document(normed, parts)
     normed.unpersist()
     tf.unpersist()
     return TfidfIndex(docs=docs, vocab=vocab, weights=weights, n_docs=n_docs,
                       stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features)
 
 
+def by_document(weights: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Weights laid out by document and kept so.
+
+    A range repartition on doc_id is the root of the cached plan (a hash
+    repartition would be elided where the data already is hash-partitioned),
+    so scans of the cache report doc_id partitioning and searches aggregate
+    (query, doc) scores and take per-partition top-k without a shuffle."""
+    parts = partitions or partition_count(weights.sparkSession)
+    out = weights.repartitionByRange(parts, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()  # materialise: the cached plan then reports its partitioning
+    return out
+
+
 def vocab_side(vocab: DataFrame, max_features: int | None) -> DataFrame:
     """(term, idf) for joins: broadcast without a check when the vocabulary
     is capped by ``max_features``, else only after a row check."""

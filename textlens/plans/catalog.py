@@ -18,14 +18,16 @@ from textlens.streaming.pages import start_page_stream
 from textlens.streaming.queries import start_query_stream
 from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
                                          similar_words, tokenize, word_similarity, word_vectors)
-from textlens.operators.pages import crawl_stats, extract_documents, extract_links, traverse, url_host, walk
+from textlens.operators.pages import (crawl_items, crawl_stats, extract_documents, extract_links, resolve,
+                                      traverse, url_host, walk)
 from textlens.operators.spelling import (check_queries, dictionary_keys, extend_dictionary, fallback_dictionary,
                                          suggest)
 from textlens.functions.text import query_word, split_ws
 from textlens.operators.validate import validate_queries
 from textlens.plans.search_service import search_with_spelling
 from textlens.operators.tfidf import TfidfIndex, fit_tfidf
-from textlens.sources.corpus import corpus_from_table
+from textlens.sources.corpus import corpus_from_table, read_corpus_text, write_corpus_text
+from textlens.sources.index_io import load_tfidf, save_tfidf
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +39,7 @@ _INDEX_CACHE: dict[tuple, TfidfIndex] = {}
 
 def tfidf_index(spark: SparkSession, sf_dir: str) -> TfidfIndex:
     """Fitted index of the documents table (one fit per session and folder)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INDEX_CACHE:
         _INDEX_CACHE[key] = fit_tfidf(corpus_from_table(table(spark, sf_dir, "documents")))
     return _INDEX_CACHE[key]
@@ -82,7 +84,7 @@ _POSTINGS_CACHE: dict[tuple, DataFrame] = {}
 
 
 def postings_table(spark, sf_dir) -> DataFrame:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _POSTINGS_CACHE:
         _POSTINGS_CACHE[key] = build_postings(tfidf_index(spark, sf_dir).docs).persist()
     return _POSTINGS_CACHE[key]
@@ -108,7 +110,7 @@ _DICT_CACHE: dict[tuple, DataFrame] = {}
 def spell_dictionary(spark, sf_dir) -> DataFrame:
     """Fallback word list plus the corpus vocabulary (bigrams included);
     built once per session and folder."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _DICT_CACHE:
         d = extend_dictionary(fallback_dictionary(spark), tfidf_index(spark, sf_dir).vocab)
         _DICT_CACHE[key] = d.persist()
@@ -121,7 +123,7 @@ _KEYS_CACHE: dict[tuple, DataFrame] = {}
 def spell_keys(spark, sf_dir) -> DataFrame:
     """Deletion-neighbourhood keys of the dictionary, built once and reused
     by every spelling query (persisted)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _KEYS_CACHE:
         _KEYS_CACHE[key] = dictionary_keys(spell_dictionary(spark, sf_dir)).persist()
     return _KEYS_CACHE[key]
@@ -177,7 +179,7 @@ _WALK_CACHE: dict[tuple, DataFrame] = {}
 
 
 def walked_pages(spark, sf_dir) -> DataFrame:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WALK_CACHE:
         _WALK_CACHE[key] = walk(table(spark, sf_dir, "pages")).persist()
     return _WALK_CACHE[key]
@@ -235,8 +237,9 @@ def q_traverse(spark, sf_dir):
 def q_crawl_stats(spark, sf_dir):
     seeds, edges, pages = traversal_fixture(spark, sf_dir)
     visits = traverse(seeds, edges, pages)
-    stats = crawl_stats(visits, extract_documents(walked_pages(spark, sf_dir)))
-    return stats.select("crawl_id", "total_pages", "successful_pages", "failed_pages", "success_rate")
+    stats = crawl_stats(visits, extract_documents(walked_pages(spark, sf_dir)), seeds=seeds)
+    return stats.select("crawl_id", "total_pages", "successful_pages", "failed_pages", "success_rate",
+                        "close_reason")
 
 
 def embedding_vectors(spark, sf_dir) -> DataFrame:
@@ -275,16 +278,16 @@ _DV_CACHE: dict[tuple, DataFrame] = {}
 def doc_tokens(spark, sf_dir) -> DataFrame:
     """(doc_id, tokens) of the documents table, semantic tokeniser; built
     once per session and folder (persisted)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TOKENS_CACHE:
         _TOKENS_CACHE[key] = tokenize(table(spark, sf_dir, "documents"), "doc_id").persist()
     return _TOKENS_CACHE[key]
 
 
 def w2v_model(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _W2V_CACHE:
-        _W2V_CACHE[key] = fit_word_vectors(doc_tokens(spark, sf_dir), vector_size=50,
+        _W2V_CACHE[key] = fit_word_vectors(doc_tokens(spark, sf_dir), 
                                            num_partitions=spark.sparkContext.defaultParallelism)
     return _W2V_CACHE[key]
 
@@ -296,7 +299,7 @@ def trained_vectors(spark, sf_dir) -> DataFrame:
     """(word, vector) of the trained model as a distributed, persisted table
     (the model's vector list is a driver-side local relation; converting it
     once avoids shipping it with every task that reads it)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WV_CACHE:
         v = word_vectors(w2v_model(spark, sf_dir))
         _WV_CACHE[key] = v.repartition(spark.sparkContext.defaultParallelism).persist()
@@ -305,7 +308,7 @@ def trained_vectors(spark, sf_dir) -> DataFrame:
 
 def doc_vectors(spark, sf_dir) -> DataFrame:
     """(doc_id, vector): mean trained word vectors of each document."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _DV_CACHE:
         model = w2v_model(spark, sf_dir)
         _DV_CACHE[key] = mean_vectors(doc_tokens(spark, sf_dir), trained_vectors(spark, sf_dir),
@@ -329,10 +332,7 @@ def q_similar_words(spark, sf_dir):
 
 
 def q_word_similarity(spark, sf_dir):
-    t = _bench_tokens(spark, sf_dir)
-    pairs = t.select(F.explode(F.arrays_zip(F.col("tokens"), F.slice("tokens", 2, 1 << 30))).alias("p")).select(
-        F.col("p")["tokens"].alias("word1"), F.col("p")["1"].alias("word2")).where(F.col("word2").isNotNull())
-    return word_similarity(pairs.distinct(), trained_vectors(spark, sf_dir))
+    return word_similarity(_bench_pairs(spark, sf_dir), trained_vectors(spark, sf_dir))
 
 
 def q_results_csv(spark, sf_dir):
@@ -380,6 +380,116 @@ def q_stream_pages(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("page_id", "content", "n_chars", "ok")
 
 
+# References of RFC 3986 section 5.4 that name a path, resolved
+# against <base>/b/c/d;p?q, and paths that climb more levels than there are.
+REFERENCES = ("g", "./g", "g/", "/g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "g;x?y#s", "", ".", "./", "..",
+              "../", "../g", "../..", "../../", "../../g", "../../../g", "../../../../g", "/./g", "/../g", "g.", ".g",
+              "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y", "g;x=1/../y", "g?y/./x", "g?y/../x",
+              "g#s/./x", "g#s/../x", "a/b/c/d/../../../../../../e")
+
+
+def q_link_resolution(spark, sf_dir):
+    """Every page's host with a path of RFC 3986 as the base, against every
+    reference of its section 5.4."""
+    base = F.concat(F.lit("http://"), url_host(F.col("url")), F.lit("/b/c/d;p?q"))
+    r = table(spark, sf_dir, "pages").select(
+        "page_id", base.alias("base"), F.explode(F.array(*(F.lit(x) for x in REFERENCES))).alias("href"))
+    return r.select("page_id", "href", resolve(F.col("base"), F.col("href")).alias("link"))
+
+
+SAVED_STOP_WORDS = ("the", "of", "and", "de", "der")
+
+
+def q_saved_index_search(spark, sf_dir):
+    """An index fitted with settings of its own, saved, loaded and searched."""
+    path = _stream_dir(spark, "saved-index")
+    fitted = fit_tfidf(corpus_from_table(table(spark, sf_dir, "documents")), max_features=2000,
+                       stop_words=SAVED_STOP_WORDS, bigrams=False)
+    save_tfidf(fitted, path)
+    fitted.unpersist()
+    return search(load_tfidf(spark, path), bench_queries(spark, sf_dir), 5)
+
+
+def q_corpus_file(spark, sf_dir):
+    """Page items written as a corpus file and read back; ids leave out where
+    a record lies, so the texts with their number of copies are compared."""
+    path = _stream_dir(spark, "corpus-file")
+    write_corpus_text(crawl_items(extract_documents(walked_pages(spark, sf_dir))), path, "overwrite")
+    back = read_corpus_text(spark, path)
+    return back.groupBy("text").agg(F.count_distinct("doc_id").alias("n"))
+
+
+def request_table(spark, sf_dir) -> DataFrame:
+    """Requests of all kinds: conversation turns as queries (too short and too
+    long ones among them), k from the turn number, some out of range or no
+    number, correction on and off."""
+    c = table(spark, sf_dir, "conversations")
+    n = F.col("conv_id") * 1000 + F.col("turn")
+    k = (F.when(n % 11 == 0, F.lit("x")).when(n % 13 == 0, F.repeat(F.lit("9"), F.lit(45)))
+         .otherwise((n % 7).cast("string")))
+    text = F.regexp_replace(F.substring("text", 1, 300), r"(^|\s)(\p{L})\p{L}(\p{L}{4,})", "$1$2$3")
+    return c.where("role = 'user'").select(
+        n.alias("query_id"), F.when(n % 17 == 0, F.substring(text, 1, 1)).otherwise(text).alias("query_text"),
+        k.alias("top_k"), (n % 2 == 0).alias("auto_correct"))
+
+
+def q_search_requests(spark, sf_dir):
+    """Hits of the whole request path."""
+    return search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir),
+                                request_table(spark, sf_dir), preview=False,
+                                dict_keys=spell_keys(spark, sf_dir)).results
+
+
+def q_request_answers(spark, sf_dir):
+    """One row per request: what was answered, error and correction."""
+    r = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir),
+                             request_table(spark, sf_dir), preview=False,
+                             dict_keys=spell_keys(spark, sf_dir)).requests
+    return r.select("query_id", "status", "error", "top_k", "search_query",
+                    F.col("spell_check.corrected_query").alias("corrected"))
+
+
+def q_stream_search_requests(spark, sf_dir):
+    """The same requests as a stream of files through validation, spell check
+    and search."""
+    base = _stream_dir(spark, "requests")
+    req = request_table(spark, sf_dir)
+    req.write.parquet(f"{base}/in")
+    q = start_query_stream(spark, f"{base}/in", "query_id long, query_text string, top_k string, auto_correct boolean",
+                           tfidf_index(spark, sf_dir), f"{base}/out", f"{base}/checkpoint",
+                           dictionary=spell_dictionary(spark, sf_dir), dict_keys=spell_keys(spark, sf_dir))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/results").select("query_id", "rank", "doc_id", "score")
+
+
+def rule_word_table(spark, sf_dir) -> DataFrame:
+    return rule_vectors(_bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct())
+
+
+def _bench_pairs(spark, sf_dir) -> DataFrame:
+    t = _bench_tokens(spark, sf_dir)
+    return t.select(F.explode(F.arrays_zip(F.col("tokens"), F.slice("tokens", 2, 1 << 30))).alias("p")).select(
+        F.col("p")["tokens"].alias("word1"), F.col("p")["1"].alias("word2")).where(
+        F.col("word2").isNotNull()).distinct()
+
+
+def q_word_similarity_rule(spark, sf_dir):
+    """Cosine similarity of neighbouring words over the rule-based vectors."""
+    r = word_similarity(_bench_pairs(spark, sf_dir), rule_word_table(spark, sf_dir))
+    return r.select("word1", "word2", F.round("similarity", 6).alias("similarity"))
+
+
+def q_semantic_search_rule(spark, sf_dir):
+    """Query vectors against document vectors, both means of the rule-based
+    word vectors."""
+    v = rule_word_table(spark, sf_dir)
+    docs = mean_vectors(doc_tokens(spark, sf_dir), v, 3, "doc_id").select("doc_id", F.col("vector").alias("vec"))
+    qs = mean_vectors(_bench_tokens(spark, sf_dir), v, 3, "item_id").select(
+        F.col("item_id").alias("query_id"), F.col("vector").alias("vec"))
+    r = knn(qs, docs, 5)
+    return r.select("query_id", "rank", "distance")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_filter": q_corpus_filter,
     "vocab_df_cf": q_vocab_df_cf,
@@ -411,4 +521,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_ready": q_corpus_ready,
     "stream_queries": q_stream_queries,
     "stream_pages": q_stream_pages,
+    "link_resolution": q_link_resolution,
+    "saved_index_search": q_saved_index_search,
+    "corpus_file": q_corpus_file,
+    "search_requests": q_search_requests,
+    "request_answers": q_request_answers,
+    "stream_search_requests": q_stream_search_requests,
+    "word_similarity_rule": q_word_similarity_rule,
+    "semantic_search_rule": q_semantic_search_rule,
 }

@@ -362,7 +362,89 @@ SELECT d.doc_id, round(coalesce(m.v0, 0.0), 6) AS v0, round(coalesce(m.v1, 0.0),
        round(coalesce(m.v2, 0.0), 6) AS v2
 FROM documents d LEFT JOIN m USING (doc_id)"""
 
+# What the references of RFC 3986 section 5.4 resolve to,
+# written down from its tables (strict parsing), behind http://<host>.
+RFC_3986 = """
+g /b/c/g|./g /b/c/g|g/ /b/c/g/|/g /g|?y /b/c/d;p?y|g?y /b/c/g?y|#s /b/c/d;p?q#s|g#s /b/c/g#s|g?y#s /b/c/g?y#s
+|;x /b/c/;x|g;x /b/c/g;x|g;x?y#s /b/c/g;x?y#s| /b/c/d;p?q|. /b/c/|./ /b/c/|.. /b/|../ /b/|../g /b/g|../.. /
+|../../ /|../../g /g|../../../g /g|../../../../g /g|/./g /g|/../g /g|g. /b/c/g.|.g /b/c/.g|g.. /b/c/g..
+|..g /b/c/..g|./../g /b/g|./g/. /b/c/g/|g/./h /b/c/g/h|g/../h /b/c/h|g;x=1/./y /b/c/g;x=1/y|g;x=1/../y /b/c/y
+|g?y/./x /b/c/g?y/./x|g?y/../x /b/c/g?y/../x|g#s/./x /b/c/g#s/./x|g#s/../x /b/c/g#s/../x
+|a/b/c/d/../../../../../../e /e
+""".replace("\n", "")
+
+REQUESTS = r"""rq AS (
+  SELECT conv_id * 1000 + turn AS n,
+         regexp_replace(substr(text, 1, 300), '(^|\s)(\pL)\pL(\pL{4,})', '\1\2\3', 'g') AS t
+  FROM conversations WHERE role = 'user'
+),
+req AS (
+  SELECT n AS query_id, CASE WHEN n % 17 = 0 THEN substr(t, 1, 1) ELSE t END AS query_text,
+         CASE WHEN n % 11 = 0 THEN 'x' WHEN n % 13 = 0 THEN repeat('9', 45) ELSE CAST(n % 7 AS VARCHAR) END AS top_k,
+         n % 2 = 0 AS auto_correct
+  FROM rq
+),
+checked AS (
+  SELECT *, CASE WHEN query_text IS NULL THEN 'Query parameter is missing'
+                 WHEN regexp_replace(query_text, '^\s+|\s+$', '', 'g') = '' THEN 'Query is empty'
+                 WHEN length(regexp_replace(query_text, '^\s+|\s+$', '', 'g')) < 2 THEN 'Query too short'
+                 WHEN length(query_text) > 1000 THEN 'Query too long'
+                 WHEN top_k = 'x' THEN 'top_k must be an integer'
+                 WHEN top_k NOT IN ('1', '2', '3', '4', '5', '6') THEN 'top_k must be between 1 and 100' END AS error
+  FROM req
+),
+sq AS (SELECT query_id, query_text FROM checked WHERE error IS NULL),""" + SPELL + r""",
+q AS (SELECT c.query_id, CASE WHEN c.auto_correct AND k.has_errors THEN k.corrected ELSE c.query_text END AS query_text,
+             CAST(c.top_k AS INTEGER) AS k, k.has_errors, k.corrected
+      FROM checked c JOIN chk k USING (query_id))"""
+
+# Word vectors by rule (see the query): the sums that cosine and mean need.
+RULE_VECTORS = r"""
+btok AS (SELECT item_id, unnest(t) AS word, unnest(generate_series(1, len(t))) AS pos
+         FROM (SELECT item_id, """ + SEM_TOKENS.format(t="text") + r""" AS t FROM benchmark)),
+wv AS (
+  SELECT word, sqrt(length(word)::DOUBLE) AS x0, ln(unicode(word)::DOUBLE) AS x1,
+         sqrt(unicode(substring(word, length(word), 1))::DOUBLE) AS x2
+  FROM (SELECT DISTINCT word FROM btok)
+)"""
+
 SQL: dict[str, str] = {
+    "link_resolution": r"""
+WITH refs AS (SELECT string_split(x, ' ') AS r FROM (SELECT unnest(string_split('""" + RFC_3986 + r"""', '|')) AS x)),
+p AS (SELECT page_id, """ + _host("url") + r""" AS host FROM pages)
+SELECT page_id, r[1] AS href, 'http://' || host || r[2] AS link FROM p, refs""",
+    "saved_index_search": search_sql(BENCH_QUERIES, 5).replace(
+        "k || list_transform(range(1, len(k)), lambda i: k[i] || ' ' || k[i + 1])", "k").replace(
+        "LIMIT 5000", "LIMIT 2000").replace(STOP_LIST, "['the', 'of', 'and', 'de', 'der']"),
+    "corpus_file": "WITH " + PAGE_DOCS + r"""
+SELECT text, count(*) AS n FROM (
+  SELECT regexp_replace(regexp_replace(title, '\s+', ' ', 'g'), '^ | $', '', 'g') || chr(10) || content AS text
+  FROM pdocs JOIN ptitles USING (page_id) WHERE ok)
+WHERE length(text) > 50 GROUP BY text""",
+    "search_requests": search_sql(REQUESTS, "k"),
+    "stream_search_requests": search_sql(REQUESTS, "k"),
+    "request_answers": "WITH " + TFIDF + ",\n" + REQUESTS + r"""
+SELECT c.query_id, CASE WHEN c.error IS NULL THEN 'success' ELSE 'invalid' END AS status, c.error,
+       CAST(q.k AS INTEGER) AS top_k, q.query_text AS search_query, CASE WHEN q.has_errors THEN q.corrected END AS corrected
+FROM checked c LEFT JOIN q USING (query_id)""",
+    "word_similarity_rule": "WITH " + RULE_VECTORS + r""",
+pairs AS (SELECT DISTINCT a.word AS word1, b.word AS word2 FROM btok a JOIN btok b
+          ON a.item_id = b.item_id AND b.pos = a.pos + 1)
+SELECT word1, word2, round((a.x0 * b.x0 + a.x1 * b.x1 + a.x2 * b.x2)
+         / (sqrt(a.x0 * a.x0 + a.x1 * a.x1 + a.x2 * a.x2) * sqrt(b.x0 * b.x0 + b.x1 * b.x1 + b.x2 * b.x2)), 6) AS similarity
+FROM pairs JOIN wv a ON a.word = word1 JOIN wv b ON b.word = word2""",
+    "semantic_search_rule": "WITH " + RULE_VECTORS + r""",
+dtok AS (SELECT doc_id, unnest(""" + SEM_TOKENS.format(t="text") + r""") AS word FROM documents),
+dv AS (SELECT d.doc_id, coalesce(avg(x0), 0) AS v0, coalesce(avg(x1), 0) AS v1, coalesce(avg(x2), 0) AS v2
+       FROM documents d LEFT JOIN (SELECT * FROM dtok JOIN wv USING (word)) t USING (doc_id) GROUP BY d.doc_id),
+qv AS (SELECT b.item_id AS query_id, coalesce(avg(x0), 0) AS v0, coalesce(avg(x1), 0) AS v1, coalesce(avg(x2), 0) AS v2
+       FROM benchmark b LEFT JOIN (SELECT * FROM btok JOIN wv USING (word)) t USING (item_id) GROUP BY b.item_id),
+d AS (SELECT query_id, doc_id, (q.v0 - d.v0) ** 2 + (q.v1 - d.v1) ** 2 + (q.v2 - d.v2) ** 2 AS distance
+      FROM qv q, dv d)
+SELECT query_id, rank, distance FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 6), doc_id) AS INTEGER) AS rank,
+         round(distance, 6) AS distance FROM d)
+WHERE rank <= 5""",
     "corpus_filter": "WITH " + CORPUS + "\nSELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars FROM corpus",
     "vocab_df_cf": "WITH " + TFIDF + "\nSELECT term, df, cf, round(idf, 9) AS idf FROM vocab",
     "doc_weights": "WITH " + TFIDF + "\nSELECT doc_id, term, round(w, 9) AS w FROM dw",
@@ -399,11 +481,13 @@ FROM (
     "link_domains": "WITH " + PAGE_LINKS + "\nSELECT " + _host("link") + """ AS host,
        count(*) AS n_links, count(DISTINCT page_id) AS n_pages FROM plinks GROUP BY host""",
     "traverse": "WITH RECURSIVE " + TRAVERSE + "\nSELECT crawl_id, page_id, url, depth, rank FROM visits",
-    "crawl_stats": "WITH RECURSIVE " + TRAVERSE + "," + PAGE_DOCS + """
-SELECT crawl_id, count(*) AS total_pages, CAST(count_if(ok) AS BIGINT) AS successful_pages,
-       CAST(count_if(NOT ok) AS BIGINT) AS failed_pages,
-       format('{:.1f}%', CASE WHEN count(*) > 0 THEN count_if(ok) * 100.0 / count(*) ELSE 0.0 END) AS success_rate
-FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id""",
+    "crawl_stats": "WITH RECURSIVE " + TRAVERSE + "," + PAGE_DOCS + """,
+per AS (SELECT crawl_id, count(*) AS n, count_if(ok) AS good FROM visits JOIN pdocs USING (page_id) GROUP BY crawl_id)
+SELECT c.crawl_id, coalesce(n, 0) AS total_pages, CAST(coalesce(good, 0) AS BIGINT) AS successful_pages,
+       CAST(coalesce(n - good, 0) AS BIGINT) AS failed_pages,
+       format('{:.1f}%', CASE WHEN n > 0 THEN good * 100.0 / n ELSE 0.0 END) AS success_rate,
+       CASE WHEN n >= 50 THEN 'closespider_pagecount' ELSE 'finished' END AS close_reason
+FROM crawls c LEFT JOIN per USING (crawl_id)""",
     "knn_l2": KNN_L2,
     "word_mean_vectors": WORD_MEAN,
     "results_csv": search_sql(BENCH_QUERIES, 5).replace(

@@ -48,8 +48,10 @@ def get_spark(master: str | None = None, partitions: int | None = None, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (tests, local runs) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only a session that
+    runs in one process (``local[...]``) may go without: a scratch folder is
+    then made and registered.  On a cluster a machine-local folder would be
+    lost to the other machines, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="textlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -67,7 +71,7 @@ def partition_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -77,11 +81,11 @@ def ship_package(spark: SparkSession) -> None:
     import shutil
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out = tempfile.mkdtemp(prefix="textlens-pyfiles-")
     archive = shutil.make_archive(os.path.join(out, "textlens"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="textlens")
     sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

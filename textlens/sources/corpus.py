@@ -17,8 +17,9 @@ def read_corpus_text(spark: SparkSession, path: str, crlf: bool = False,
     line.  Records are stripped and kept when longer than ``min_chars``.
 
     Windows files (``crlf=True``) are split on ``\\r\\n\\r\\n`` and their line
-    ends normalised to ``\\n``.  Ids are assigned once at read time; write the
-    result to Parquet to freeze them.
+    ends normalised to ``\\n``.  A record's id is the hash of its text and of
+    its number among equal texts, so it depends on neither file splits nor
+    the order of reading.
     """
     sep = "\r\n\r\n" if crlf else "\n\n"
     raw = spark.read.option("lineSep", sep).text(path)
@@ -26,7 +27,10 @@ def read_corpus_text(spark: SparkSession, path: str, crlf: bool = False,
     if crlf:
         text = F.regexp_replace(text, "\r\n", "\n")
     out = raw.select(strip(text).alias("text")).where(F.length("text") > min_chars)
-    return out.select(F.monotonically_increasing_id().alias("doc_id"), "text")
+    # equal records are interchangeable: count them, then number the copies
+    copies = out.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    numbered = copies.select("text", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    return numbered.select(F.xxhash64("text", "copy").alias("doc_id"), "text")
 
 
 def corpus_from_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
