@@ -107,8 +107,10 @@ def mix_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
         "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     left = F.least(F.col("size"), F.col("taken") - (F.col("__copy") - 1) * F.col("size"))
     text = F.col("__rest.text")
-    cut = F.regexp_extract(
-        text, F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){0,"), left.cast("string"), F.lit("}+")), 0)
+    # the first words, with what stands before each; possessive, so that the
+    # engine keeps no state per word
+    first = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){0,"), left.cast("string"), F.lit("}+"))
+    cut = F.coalesce(F.regexp_substr(text, first), F.lit(""))
     out = out.withColumn("__text", F.when(left < F.col("size"), cut).otherwise(text))
 
     def column(c: str) -> Column:
