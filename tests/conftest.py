@@ -18,6 +18,7 @@ def spark():
         SparkSession.builder.master("local[4]")
         .appName("textlens-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")

@@ -418,7 +418,8 @@ SELECT page_id, r[1] AS href, 'http://' || host || r[2] AS link FROM p, refs""",
         "LIMIT 5000", "LIMIT 2000").replace(STOP_LIST, "['the', 'of', 'and', 'de', 'der']"),
     "corpus_file": "WITH " + PAGE_DOCS + r"""
 SELECT text, count(*) AS n FROM (
-  SELECT regexp_replace(regexp_replace(title, '\s+', ' ', 'g'), '^ | $', '', 'g') || chr(10) || content AS text
+  SELECT regexp_replace(regexp_replace(regexp_replace(title, '\s+', ' ', 'g'), '^ | $', '', 'g') || chr(10) || content,
+                        '^\s+|\s+$', '', 'g') AS text
   FROM pdocs JOIN ptitles USING (page_id) WHERE ok)
 WHERE length(text) > 50 GROUP BY text""",
     "search_requests": search_sql(REQUESTS, "k"),
