@@ -71,7 +71,7 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark):
     batch = search(idx, bench, 5)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
-    logged = spark.read.option("header", True).csv(f"{base}/out/queries")
+    logged = spark.read.option("header", True).option("multiLine", True).option("escape", "\"").csv(f"{base}/out/queries")
     assert logged.count() == bench.count()
 
 
@@ -122,3 +122,95 @@ def test_size_check_keeps_cache_behind_projection(spark):
     rdds = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     broadcast_if_small(base.select("word", "vector"), max_rows=10)
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == rdds
+
+
+def test_saved_index_answers_as_before(spark):
+    from textlens.sources.index_io import load_tfidf, read_documents, save_tfidf, write_documents
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    queries = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+    fitted = fit_tfidf(docs, max_features=None, stop_words=("the", "of"), bigrams=False)
+    want = sorted(search(fitted, queries, 4).collect())
+    d = tempfile.mkdtemp(prefix="index-")
+    save_tfidf(fitted, d)
+    back = load_tfidf(spark, d)
+    assert (back.stop_words, back.bigrams, back.max_features, back.n_docs) == (("the", "of"), False, None, fitted.n_docs)
+    found = search(back, queries, 4)
+    assert sorted(found.collect()) == want
+    # (query, document) products reach their partial top k without an exchange
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [term" not in plan
+    write_documents(docs, f"{d}/map")
+    assert read_documents(spark, f"{d}/map").exceptAll(docs).count() == 0
+
+
+def test_text_ids_through_the_index_files(spark):
+    import json
+
+    from textlens.sources.index_io import read_legacy_index, read_postings_json, write_postings_json
+
+    d = tempfile.mkdtemp(prefix="legacy-")
+    with open(f"{d}/index.json", "w") as f:
+        json.dump({"index": {"deep": [["id-1", [0, 4]], ["id-2", [3]]], "data": [["id-2", [1]]]}}, f)
+    flat = read_legacy_index(spark, f"{d}/index.json")
+    write_postings_json(flat, f"{d}/out")
+    back = read_postings_json(spark, f"{d}/out", "string")
+    assert sorted(back.collect()) == sorted(flat.collect())
+
+
+def test_corpus_ids_do_not_depend_on_the_file(spark):
+    d = tempfile.mkdtemp(prefix="ids-")
+    a, b = "a" * 60, "b" * 60
+    with open(f"{d}/one.txt", "w") as f:
+        f.write(f"{a}\n\n{b}\n\n{a}")
+    with open(f"{d}/two.txt", "w") as f:
+        f.write(f"{b}\n\n{a}\n\n{a}")
+    one, two = (sorted(read_corpus_text(spark, f"{d}/{n}.txt").collect()) for n in ("one", "two"))
+    assert one == two and len({r["doc_id"] for r in one}) == 3
+
+
+def test_request_stream_logs_accepted_requests_and_leaves_no_cache(spark):
+    from textlens.operators.spelling import fallback_dictionary
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    idx = fit_tfidf(docs)
+    d = tempfile.mkdtemp(prefix="requests-")
+    rows = [(1, "machne lerning", "3", True), (2, "x", "3", True), (3, "data", "9" * 45, True), (4, "deep", "x", True),
+            (5, "the of machine", "2", False), (6, None, None, None)]
+    schema = "query_id long, query_text string, top_k string, auto_correct boolean"
+    for i in range(3):
+        spark.createDataFrame(rows[2 * i:2 * i + 2], schema).coalesce(1).write.mode("append").parquet(f"{d}/in")
+    cached = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    words = fallback_dictionary(spark)
+    for checkpoint in ("c1", "c2"):  # a second run beside the first, not over it
+        start_query_stream(spark, f"{d}/in", schema, idx, f"{d}/out", f"{d}/{checkpoint}", dictionary=words,
+                           max_files=1).awaitTermination()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached
+    logged = spark.read.option("header", True).csv(f"{d}/out/queries")
+    assert sorted(r["query_text"] for r in logged.collect()) == ["machne lerning", "machne lerning"] + ["the of machine"] * 2
+    hits = spark.read.option("header", True).csv(f"{d}/out/result_log")
+    assert hits.columns[:3] == ["query_id", "rank", "document_id"] and hits.count() == 2 * (3 + 2)
+
+
+def test_k_out_of_range_is_never_cut(spark):
+    import pytest
+
+    idx = fit_tfidf(docs_df(spark, ["alpha beta gamma", "beta delta", "gamma epsilon alpha"]))
+    q = spark.createDataFrame([(1, "alpha", 101)], "query_id long, query_text string, k int")
+    with pytest.raises(Exception, match="between 1 and 100"):
+        search(idx, q, k="k").collect()
+
+
+def test_top_k_of_any_type(spark):
+    from textlens.operators.validate import validate_queries
+
+    floats = spark.createDataFrame([("ab", x) for x in (5.0, 5.7, 0.5, 101.0, float("nan"), None)],
+                                   "query_text string, top_k double")
+    got = [(r["top_k"], r["error"]) for r in validate_queries(floats).collect()]
+    bad = "top_k must be between 1 and 100"
+    assert got == [(5, None), (5, None), (None, bad), (None, bad), (None, "top_k must be an integer"), (5, None)]
+    texts = spark.createDataFrame([("ab", x) for x in ("9" * 45, "-" + "9" * 45, "5.0", " 7 ")],
+                                  "query_text string, top_k string")
+    got = [(r["top_k"], r["error"]) for r in validate_queries(texts).collect()]
+    assert got == [(None, bad), (None, bad), (None, "top_k must be an integer"), (7, None)]

@@ -109,3 +109,28 @@ def test_crawl_stats_rate(spark):
     got = {r["crawl_id"]: (r["total_pages"], r["successful_pages"], r["failed_pages"], r["success_rate"])
            for r in crawl_stats(visits, docs).collect()}
     assert got == {1: (3, 2, 1, "66.7%"), 2: (1, 0, 1, "0.0%")}
+
+
+def test_resolve_climbs_any_number_of_levels(spark):
+    cases = [("http://host.org/a", "../../x", "http://host.org/x"), ("http://host.org/", "../x", "http://host.org/x"),
+             ("http://h.org/1/2/3/4/5/6", "../../../../x", "http://h.org/1/x"), ("http://h.org/a/b", "..", "http://h.org/"),
+             ("http://h.org/a/b", "x?u=/p/../q", "http://h.org/a/x?u=/p/../q"), ("http://h.org", "x", "http://h.org/x")]
+    df = spark.createDataFrame([(b, h) for b, h, _ in cases], "base string, href string")
+    got = [r["u"] for r in df.select(resolve(F.col("base"), F.col("href")).alias("u")).collect()]
+    assert got == [want for _, _, want in cases]
+
+
+def test_base_element_and_double_endings(spark):
+    html = '<base href="http://cdn.org/z/"><a href="q">1</a><a href="f.tar.gz">2</a><a href="/f.gz.html">3</a>'
+    links = {r["link"] for r in extract_links(page(spark, html, url="http://h.org/a/")).collect()}
+    assert links == {"http://cdn.org/z/q", "http://cdn.org/f.gz.html"}
+
+
+def test_crawl_without_pages_has_a_row(spark):
+    visits = spark.createDataFrame([(1, 10)], "crawl_id long, page_id long")
+    docs = spark.createDataFrame([(10, True)], "page_id long, ok boolean")
+    seeds = spark.createDataFrame([(1, "u"), (2, "v")], "crawl_id long, seed_url string")
+    got = {r["crawl_id"]: r for r in crawl_stats(visits, docs, seeds=seeds, max_pages=1).collect()}
+    assert (got[2]["total_pages"], got[2]["failed_pages"], got[2]["success_rate"]) == (0, 0, "0.0%")
+    assert (got[1]["close_reason"], got[2]["close_reason"]) == ("closespider_pagecount", "finished")
+    assert got[2]["start_time"] is not None and got[2]["end_time"] is not None

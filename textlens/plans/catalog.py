@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
-from textlens.operators.search import search
+from textlens.operators.search import search, with_preview
 from textlens.operators.status import corpus_ready, health
 from textlens.sources.logs import results_csv, results_json
 from textlens.session import checkpoint_dir
@@ -479,6 +479,19 @@ def q_word_similarity_rule(spark, sf_dir):
     return r.select("word1", "word2", F.round("similarity", 6).alias("similarity"))
 
 
+def q_similar_words_rule(spark, sf_dir):
+    """Most similar words by cosine over the rule-based vectors; which of
+    several equally similar ones comes first is decided by the word."""
+    v = rule_word_table(spark, sf_dir)
+    return similar_words(v.select("word"), v, 3).select("word", "rank", "similarity")
+
+
+def q_result_previews(spark, sf_dir):
+    """Hits of the benchmark passages with their previews."""
+    idx = tfidf_index(spark, sf_dir)
+    return with_preview(search(idx, bench_queries(spark, sf_dir), 5), idx.docs)
+
+
 def q_semantic_search_rule(spark, sf_dir):
     """Query vectors against document vectors, both means of the rule-based
     word vectors."""
@@ -527,6 +540,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_requests": q_search_requests,
     "request_answers": q_request_answers,
     "stream_search_requests": q_stream_search_requests,
+    "result_previews": q_result_previews,
+    "similar_words_rule": q_similar_words_rule,
     "word_similarity_rule": q_word_similarity_rule,
     "semantic_search_rule": q_semantic_search_rule,
 }

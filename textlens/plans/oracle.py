@@ -434,6 +434,18 @@ pairs AS (SELECT DISTINCT a.word AS word1, b.word AS word2 FROM btok a JOIN btok
 SELECT word1, word2, round((a.x0 * b.x0 + a.x1 * b.x1 + a.x2 * b.x2)
          / (sqrt(a.x0 * a.x0 + a.x1 * a.x1 + a.x2 * a.x2) * sqrt(b.x0 * b.x0 + b.x1 * b.x1 + b.x2 * b.x2)), 6) AS similarity
 FROM pairs JOIN wv a ON a.word = word1 JOIN wv b ON b.word = word2""",
+    "result_previews": "SELECT r.*, CASE WHEN coalesce(c.text, '') = '' THEN 'Content not available' "
+    "ELSE substr(c.text, 1, 200) END AS content_preview FROM (" + search_sql(BENCH_QUERIES, 5) + ") r LEFT JOIN ("
+    "SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents) c USING (doc_id)",
+    "similar_words_rule": "WITH " + RULE_VECTORS + r""",
+u AS (SELECT word, x0 / n AS x0, x1 / n AS x1, x2 / n AS x2
+      FROM (SELECT *, sqrt(x0 * x0 + x1 * x1 + x2 * x2) AS n FROM wv)),
+p AS (SELECT a.word, b.word AS other, round(a.x0 * b.x0 + a.x1 * b.x1 + a.x2 * b.x2, 6) AS similarity
+      FROM u a, u b WHERE a.word <> b.word)
+SELECT word, rank, similarity FROM (
+  SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY similarity DESC, other) AS INTEGER) AS rank, similarity
+  FROM p)
+WHERE rank <= 3""",
     "semantic_search_rule": "WITH " + RULE_VECTORS + r""",
 dtok AS (SELECT doc_id, unnest(""" + SEM_TOKENS.format(t="text") + r""") AS word FROM documents),
 dv AS (SELECT d.doc_id, coalesce(avg(x0), 0) AS v0, coalesce(avg(x1), 0) AS v1, coalesce(avg(x2), 0) AS v2

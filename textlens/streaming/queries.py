@@ -50,7 +50,8 @@ def start_query_stream(spark: SparkSession, source: str, schema: str, index: Tfi
                 hits = search(index, batch, k)
             hits.select("query_id", "rank", "doc_id", "score").write.mode("overwrite").parquet(
                 f"{out}/results/{place}")
-            query_log(accepted).write.mode("overwrite").option("header", True).csv(f"{out}/queries/{place}")
+            query_log(accepted).write.mode("overwrite").option("header", True).option("escape", "\"").csv(
+                f"{out}/queries/{place}")
             result_log(spark.read.parquet(f"{out}/results/{place}")).write.mode("overwrite").option(
                 "header", True).csv(f"{out}/result_log/{place}")
         finally:
