@@ -21,7 +21,9 @@ ROWS_ONLY = {"semantic_search", "similar_words", "word_similarity", "results_jso
 def test_every_query_has_sql_or_is_rows_only():
     q, s = set(E.queries()), set(E.oracle_sql())
     assert s <= q
-    assert q - s == ROWS_ONLY
+    llm = set(E.LLM_QUERIES)  # present only with the corpus-preparation subpackage
+    assert q - s - llm == ROWS_ONLY
+    assert set(E.LLM_SQL) <= llm
 
 
 def test_entry_runs(spark):
@@ -35,7 +37,8 @@ def duck():
     return C.duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - {"stream_queries", "stream_pages"}))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - set(E.LLM_SQL) - {
+    "stream_queries", "stream_pages", "stream_search_requests"}))
 def test_query_matches_sql(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL).toPandas()
     ddf = duck.sql(E.oracle_sql()[name]).df()

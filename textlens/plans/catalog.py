@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
 from textlens.operators.search import search, with_preview
 from textlens.operators.status import corpus_ready, health
-from textlens.sources.logs import results_csv, results_json
+from textlens.sources.logs import results_csv, results_json, write_logs
 from textlens.session import checkpoint_dir
 from textlens.streaming.pages import start_page_stream
 from textlens.streaming.queries import start_query_stream
@@ -20,8 +20,8 @@ from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_
                                          similar_words, tokenize, word_similarity, word_vectors)
 from textlens.operators.pages import (crawl_items, crawl_stats, extract_documents, extract_links, resolve,
                                       traverse, url_host, walk)
-from textlens.operators.spelling import (check_queries, dictionary_keys, extend_dictionary, fallback_dictionary,
-                                         suggest)
+from textlens.operators.spelling import (check_queries, correct_queries, dictionary_keys, extend_dictionary,
+                                         fallback_dictionary, load_dictionary, suggest)
 from textlens.functions.text import query_word, split_ws
 from textlens.operators.validate import validate_queries
 from textlens.plans.search_service import search_with_spelling
@@ -462,6 +462,29 @@ def q_stream_search_requests(spark, sf_dir):
     return spark.read.parquet(f"{base}/out/results").select("query_id", "rank", "doc_id", "score")
 
 
+def q_corrected_text(spark, sf_dir):
+    """Corrected queries against a dictionary read from a word file."""
+    path = _stream_dir(spark, "dictionary")
+    spell_dictionary(spark, sf_dir).write.text(path)
+    return correct_queries(misspelled_queries(spark, sf_dir), load_dictionary(spark, path))
+
+
+def q_result_log(spark, sf_dir):
+    """Query and result logs written as CSV with a header and read back."""
+    path = _stream_dir(spark, "logs")
+    requests = bench_queries(spark, sf_dir)
+    write_logs(requests, search(tfidf_index(spark, sf_dir), requests, 5), path)
+    queries = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{path}/queries")
+    hits = spark.read.option("header", True).schema("query_id long, rank int, document_id long").csv(f"{path}/results")
+    return hits.join(queries.select(F.col("query_id").cast("long").alias("query_id"), "query_text"), "query_id")
+
+
+def q_postings_ascii(spark, sf_dir):
+    """Postings of the text without its non-ASCII characters."""
+    p = build_postings(tfidf_index(spark, sf_dir).docs, ascii_fallback=True)
+    return p.select("term", "doc_id", F.array_join("positions", ",").alias("positions"))
+
+
 def rule_word_table(spark, sf_dir) -> DataFrame:
     return rule_vectors(_bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct())
 
@@ -540,6 +563,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_requests": q_search_requests,
     "request_answers": q_request_answers,
     "stream_search_requests": q_stream_search_requests,
+    "corrected_text": q_corrected_text,
+    "result_log": q_result_log,
+    "postings_ascii": q_postings_ascii,
     "result_previews": q_result_previews,
     "similar_words_rule": q_similar_words_rule,
     "word_similarity_rule": q_word_similarity_rule,

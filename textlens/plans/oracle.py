@@ -434,6 +434,12 @@ pairs AS (SELECT DISTINCT a.word AS word1, b.word AS word2 FROM btok a JOIN btok
 SELECT word1, word2, round((a.x0 * b.x0 + a.x1 * b.x1 + a.x2 * b.x2)
          / (sqrt(a.x0 * a.x0 + a.x1 * a.x1 + a.x2 * a.x2) * sqrt(b.x0 * b.x0 + b.x1 * b.x1 + b.x2 * b.x2)), 6) AS similarity
 FROM pairs JOIN wv a ON a.word = word1 JOIN wv b ON b.word = word2""",
+    "corrected_text": "WITH " + TFIDF + ",\n" + MISSPELLED_SQ + "," + SPELL + "\nSELECT query_id, corrected FROM chk",
+    "result_log": "SELECT r.query_id, r.rank, r.doc_id AS document_id, b.text AS query_text FROM ("
+    + search_sql(BENCH_QUERIES, 5) + ") r JOIN benchmark b ON b.item_id = r.query_id",
+    "postings_ascii": "WITH " + CORPUS + "," + POSTINGS_BODY.replace(
+        "lower(text)", r"lower(regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), '^\s+|\s+$', '', 'g'))")
+    + "\nSELECT term, doc_id, array_to_string(positions, ',') AS positions FROM postings",
     "result_previews": "SELECT r.*, CASE WHEN coalesce(c.text, '') = '' THEN 'Content not available' "
     "ELSE substr(c.text, 1, 200) END AS content_preview FROM (" + search_sql(BENCH_QUERIES, 5) + ") r LEFT JOIN ("
     "SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents) c USING (doc_id)",
