@@ -7,16 +7,18 @@ A byte goes if a string of WIDTH bytes that covers it starts anywhere else.
    have equal k-grams, so a window whose k-gram is unique in the corpus is
    unique, and only (hash, place, hash of the run's bytes) are shuffled: about
    one row per 85 bytes.
-2. Runs whose k-gram repeats.  If all runs of a k-gram have the same bytes,
-   all their windows repeat.  Else the runs' bytes are gathered by k-gram.
+2. Runs whose k-gram repeats.  All windows of equal runs repeat.  Where a
+   k-gram has different runs, the bytes of one of each are gathered.
 3. Shards of whole k-gram groups.  A shard's distinct runs are concatenated,
    their suffixes sorted, the Burrows-Wheeler transform run-length coded and
    suffixes sampled at both ends of its runs.  Streaming the text past the
    samples gives, at each position, the longest match with any other position
    (between two samples it shrinks by one per byte); positions that match
    WIDTH bytes are marked.
-4. K-grams with more than HOT runs, which no task should hold, are resolved by
-   counting window hashes instead: same result, no group in one place.
+4. K-grams with more than HOT different runs, which no task should hold, go another way
+   to the same result.  Windows that occur twice among SCOUTS of the k-gram's
+   runs repeat; every run finds those of its own windows in that short list.
+   Only the windows left over are counted, by hash, with no group in one place.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textlens.llm.common import materialise
 from textlens.session import ship_package
@@ -35,6 +38,7 @@ from textlens.session import ship_package
 WIDTH = 200
 GRAM = 32
 HOT = 2000
+SCOUTS = 100
 SHARD_BYTES = 1 << 20
 #: Bytes hashed at a time; longer documents are taken in overlapping tiles.
 TILE = 1 << 20
@@ -153,22 +157,24 @@ _SYMBOLS = 7  # of 9 bits each, packed into one word
 
 
 def _suffix_order(packed: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling, from words of the first symbols."""
+    """Suffix array by prefix tripling, from words of the first symbols."""
     n = len(packed)
-    order = np.argsort(packed, kind="stable")
-    have = _SYMBOLS
-    key = packed
+    bits = int(n).bit_length()
+    ways = 3 if 3 * bits <= 63 else 2  # ranks that fit into one word
+    order = np.argsort(packed)
+    key, have = packed, _SYMBOLS
     while True:
         rank = np.empty(n, np.int64)
-        step = np.r_[False, key[order][1:] != key[order][:-1]]
-        rank[order] = np.cumsum(step)
+        sorted_ = key[order]
+        rank[order] = np.cumsum(np.r_[False, sorted_[1:] != sorted_[:-1]])
         if rank[order[-1]] == n - 1:
             return order
-        after = np.zeros(n, np.int64)
-        after[:max(n - have, 0)] = rank[have:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        have *= 2
+        key = rank
+        for way in range(1, ways):
+            key = key << bits
+            key[:max(n - way * have, 0)] += rank[way * have:] + 1
+        order = np.argsort(key)
+        have *= ways
 
 
 def _common_prefix(packed: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -279,8 +285,62 @@ def _shards(snippets: DataFrame) -> DataFrame:
     return dealt.select("h", "k", "n", "a", "bytes").mapInArrow(run, "k long, n int, start int, stop int")
 
 
+def _windows(run: bytes) -> np.ndarray:
+    """Hashes of the windows of a run."""
+    start = np.arange(len(run) - WIDTH + 1)
+    return _Hashes(np.frombuffer(run, np.uint8)).of(start, start + WIDTH).view(np.int64)
+
+
+def _hot(runs: DataFrame) -> DataFrame:
+    """``h, k, n, a, bytes`` of hot k-grams -> ``k, n, start, stop``."""
+    # the same scouts whoever asks: the first by hash of their place
+    draw = F.xxhash64("k", "n", "a", F.lit(1))
+    scouts = runs.select("h", "bytes", F.row_number().over(
+        Window.partitionBy("h").orderBy(draw, "k", "n", "a")).alias("r")).where(F.col("r") <= SCOUTS)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_windows(x.as_py()) for x in batch.column(1)]
+            h = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))],
+                names=["h", "window"])
+
+    # at most SCOUTS * WIDTH / 2 windows per k-gram
+    common = (scouts.select("h", "bytes").mapInArrow(hashed, "h long, window long").groupBy("h", "window")
+              .agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+              .groupBy("h").agg(F.collect_list("window").alias("common")).withColumnRenamed("h", "h2"))
+    met = runs.join(common, F.col("h") == F.col("h2"), "left").select("h", "k", "n", "a", "bytes", "common")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i in range(batch.num_rows):
+                h, k, n, a, run = (batch.column(c)[i].as_py() for c in range(5))
+                w = _windows(run)
+                seen = np.zeros(len(w), bool)
+                if batch.column(5)[i].is_valid:
+                    seen = np.isin(w, batch.column(5)[i].values.to_numpy())
+                s = np.flatnonzero(seen)
+                lo, hi = _merge(s + a, s + a + WIDTH)
+                out += [(h, None, k, n, x, y) for x, y in zip(lo.tolist(), hi.tolist())]
+                rest = np.flatnonzero(~seen)
+                out += [(h, x, k, n, y, y + WIDTH) for x, y in zip(w[rest].tolist(), (rest + a).tolist())]
+            cols = list(zip(*out)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 3 + [pa.int32()] * 3)],
+                names=["h", "window", "k", "n", "start", "stop"])
+
+    parts = materialise(met.mapInArrow(split, "h long, window long, k long, n int, start int, stop int"),
+                        "repeats-hot", "zstd")
+    left = parts.where("window IS NOT NULL")
+    twice = left.groupBy("h", "window").agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
+    return parts.where("window IS NULL").unionByName(left.join(twice, ["h", "window"]).select(*parts.columns)).select(
+        "k", "n", "start", "stop")
+
+
 _PIECES = ("what string, doc_id {id}, k long, n int, spans binary, text binary, h long, a int, bytes binary, "
-           "window long, n_removed long, n_spans long, kept_sha256 string")
+           "n_removed long, n_spans long, kept_sha256 string")
 
 
 def _result(raw, start: np.ndarray, stop: np.ndarray) -> tuple[int, int, str]:
@@ -310,17 +370,27 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                         text.alias("text"))
     runs = anchors(keyed.where(F.col("n") >= WIDTH))
     groups = (runs.groupBy("h").agg(F.count(F.lit(1)).alias("times"), (F.min("run") == F.max("run")).alias("same"))
-              .where("times > 1").withColumnRenamed("h", "g"))
-    found = (runs.join(groups, F.col("h") == F.col("g")).groupBy("k", "n").agg(
-        F.collect_set(F.struct("p", "a", "b", "h", "same", (F.col("times") > HOT).alias("hot"))).alias("runs"),
-        F.count(F.lit(1)).alias("rows")))
+              .where("times > 1").select(F.col("h").alias("g"), "same"))
+    met = materialise(runs.join(groups, F.col("h") == F.col("g")).drop("g"), "repeats-runs")
+    # of a k-gram with different runs, equal ones repeat each other; one of
+    # them goes on to be compared with the others
+    mixed = met.where(~F.col("same")).withColumn("place", F.xxhash64("k", "n", "a"))
+    classes = mixed.groupBy("h", "run").agg(F.count(F.lit(1)).alias("copies"), F.min("place").alias("first"))
+    sizes = classes.groupBy("h").agg((F.count(F.lit(1)) > HOT).alias("hot"))
+    classes = classes.join(sizes, "h").select(F.col("h").alias("h2"), F.col("run").alias("run2"), "copies", "first", "hot")
+    mixed = mixed.join(classes, (F.col("h") == F.col("h2")) & (F.col("run") == F.col("run2"))).select(
+        "k", "n", "a", "b", "h", (F.col("copies") > 1).alias("same"), (F.col("place") == F.col("first")).alias("send"),
+        "hot")
+    every = mixed.unionByName(met.where("same").select(
+        "k", "n", "a", "b", "h", "same", F.lit(False).alias("send"), F.lit(False).alias("hot")))
+    found = every.groupBy("k", "n").agg(
+        F.collect_set(F.struct("a", "b", "h", "same", "send", "hot")).alias("runs"), F.count(F.lit(1)).alias("rows"))
     # more rows than runs: the document's row itself is repeated, all of it goes
     found = found.select(F.col("k").alias("k2"), F.col("n").alias("n2"),
-                         (F.col("rows") > F.size("runs")).alias("again"),
-                         F.when(F.col("rows") == F.size("runs"), F.col("runs")).alias("runs"))
+                         (F.col("rows") > F.size("runs")).alias("again"), "runs")
     joined = keyed.join(found, (F.col("k") == F.col("k2")) & (F.col("n") == F.col("n2")), "left").select(
         "doc_id", "k", "n", "text", F.coalesce("again", F.lit(False)).alias("again"),
-        *(F.col("runs")[c].alias(c) for c in ("a", "b", "h", "same", "hot")))
+        *(F.col("runs")[c].alias(c) for c in ("a", "b", "h", "same", "send", "hot")))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _PIECES.split(", ")]
@@ -330,30 +400,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 raw = texts[i].as_buffer()
                 doc, k, n = (batch.column(c)[i].as_py() for c in range(3))
-                a, b, h, same, hot = (
+                a, b, h, same, send, hot = (
                     np.zeros(0, np.int64) if not batch.column(c)[i].is_valid
-                    else batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(5, 10))
-                if batch.column(4)[i].as_py():
-                    lo, hi = np.array([0]), np.array([n])
-                    rows.append(dict(zip(("n_removed", "n_spans", "kept_sha256"), _result(raw, lo, hi)),
-                                     what="done", doc_id=doc, k=k, n=n, spans=_pairs(lo, hi)))
-                    continue
-                same = same.astype(bool)
+                    else batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(5, 11))
+                same, send = same.astype(bool), send.astype(bool)
+                if send.any():
+                    data = raw.to_pybytes()
+                    for x, y, z, w in zip(*(v[send].tolist() for v in (a, b, h, hot))):
+                        rows.append(dict(what="hot" if w else "run", k=k, n=n, h=z, a=x, bytes=data[x:y + WIDTH]))
                 lo, hi = _merge(a[same].astype(np.int64), b[same].astype(np.int64) + WIDTH)
-                if same.all():
+                whole = batch.column(4)[i].as_py()
+                if whole:
+                    lo, hi = np.array([0]), np.array([n])
+                if whole or same.all():
                     rows.append(dict(zip(("n_removed", "n_spans", "kept_sha256"), _result(raw, lo, hi)),
                                      what="done", doc_id=doc, k=k, n=n, spans=_pairs(lo, hi)))
                 else:
-                    data = raw.to_pybytes()
-                    rows.append(dict(what="open", doc_id=doc, k=k, n=n, spans=_pairs(lo, hi), text=data))
-                    for x, y, z, w in zip(*(v[~same].tolist() for v in (a, b, h, hot))):
-                        if not w:
-                            rows.append(dict(what="run", k=k, n=n, h=z, a=x, bytes=data[x:y + WIDTH]))
-                            continue
-                        part = np.frombuffer(data, np.uint8)[x:y + WIDTH]
-                        s = np.arange(y - x + 1)
-                        for t, v in zip((s + x).tolist(), _Hashes(part).of(s, s + WIDTH).view(np.int64).tolist()):
-                            rows.append(dict(what="window", k=k, n=n, h=z, a=t, window=v))
+                    rows.append(dict(what="open", doc_id=doc, k=k, n=n, spans=_pairs(lo, hi), text=raw.to_pybytes()))
                 if len(rows) >= 2000:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema(batch)).select(names)
                     rows = []
@@ -366,10 +429,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     pieces = materialise(joined.mapInArrow(split, _PIECES.format(id=kind)), "repeats-pieces", "zstd")
 
     marks = _shards(pieces.where("what = 'run'"))
-    windows = pieces.where("what = 'window'").select("h", "window", "k", "n", "a")
-    twice = windows.groupBy("h", "window").agg(F.count(F.lit(1)).alias("times")).where("times > 1").drop("times")
-    hot = windows.join(twice, ["h", "window"]).select(
-        "k", "n", F.col("a").alias("start"), (F.col("a") + WIDTH).alias("stop"))
+    hot = _hot(pieces.where("what = 'hot'").select("h", "k", "n", "a", "bytes"))
     per_doc = marks.unionByName(hot).groupBy("k", "n").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
     open_ = pieces.where("what = 'open'").select("doc_id", "k", "n", "spans", "text").join(
         per_doc, ["k", "n"], "left").select("doc_id", "n", "spans", "text", F.col("marks.start").alias("start"),
