@@ -1,10 +1,10 @@
-"""Weak supervision over vote patterns: expectation-maximisation as DataFrame
-aggregations.
+"""Weak supervision over vote patterns: expectation-maximisation and logistic
+regression as SQL expressions.
 
 Every labeler votes 1, 0 or abstains (null).  Rows are first counted by vote
-pattern, so the table that the iterations read has at most 3^k rows for k
-labelers, however large the corpus is.  Nothing but the few sums of an
-iteration comes to the driver.
+pattern, so at most 3^k rows remain for k labelers, however large the corpus
+is.  These few rows form one array, over which all iterations run as nested
+folds inside a single expression: one job, one row back.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textlens.llm.common import let
+
 
 @dataclass(frozen=True)
 class LabelModel:
@@ -47,78 +49,78 @@ def fit_votes(patterns: DataFrame, names: list[str], count: str = "n", prior: fl
     labelers of which a row of class 0 usually offends only one.  An empty
     table gives the starting model.
     """
-    model = LabelModel(prior, {k: start[0] for k in names}, {k: start[1] for k in names})
-    for _ in range(rounds):
-        p = model.posterior({k: F.col(k) for k in names})
-        n = F.col(count)
-        sums = [F.sum(n).alias("n"), F.sum(n * p).alias("pos")]
-        for i, k in enumerate(names):
-            v = F.col(k)
-            sums += [F.sum(F.when(v.isNotNull(), n * p)).alias(f"a{i}"),
-                     F.sum(F.when(v == 1, n * p)).alias(f"b{i}"),
-                     F.sum(F.when(v.isNotNull(), n * (1 - p))).alias(f"c{i}"),
-                     F.sum(F.when(v == 1, n * (1 - p))).alias(f"d{i}")]
-        s = patterns.agg(*sums).first()
-        if not s["n"]:
-            return model
-        new_prior = (s["pos"] + strength * prior) / (s["n"] + strength)
-        hit, miss = {}, {}
-        for i, k in enumerate(names):
-            h = ((s[f"b{i}"] or 0) + strength * start[0]) / ((s[f"a{i}"] or 0) + strength)
-            m = ((s[f"d{i}"] or 0) + strength * start[1]) / ((s[f"c{i}"] or 0) + strength)
-            hit[k] = min(max(h, 0.5), 0.999)
-            miss[k] = max(min(m, most_miss), 0.001)
-        new = LabelModel(min(max(new_prior, 0.01), 0.99), hit, miss)
-        moved = max([abs(new.prior - model.prior)] + [abs(new.hit[k] - model.hit[k]) for k in names]
-                    + [abs(new.miss[k] - model.miss[k]) for k in names])
-        model = new
-        if moved < 1e-4:
-            break
-    return model
+    k = len(names)
+    hit0, miss0 = start
+    step = F.sequence(F.lit(0), F.lit(k - 1))
+
+    def round_(params: Column) -> Column:
+        """Next parameters: prior, then hit and miss of every labeler."""
+        weights = F.transform(step, lambda j: F.array(
+            F.log((1 - F.get(params, j + 1)) / (1 - F.get(params, j + 1 + k))),
+            F.log(F.get(params, j + 1) / F.get(params, j + 1 + k))))
+        base = F.log(F.get(params, F.lit(0)) / (1 - F.get(params, F.lit(0))))
+
+        def sums(w: Column) -> Column:
+            def add(acc: Column, p: Column) -> Column:
+                odds = F.aggregate(F.zip_with(p["v"], w, lambda v, x: F.coalesce(F.get(x, v), F.lit(0.0))), base,
+                                   lambda t, x: t + x)
+                return let(F.array(p["n"] / (1 + F.exp(-odds)), p["n"] / (1 + F.exp(odds))), lambda q: F.zip_with(
+                    acc, F.concat(q, F.flatten(F.transform(p["v"], lambda v: F.when(
+                        v == 1, F.array(F.get(q, F.lit(0)), F.get(q, F.lit(0)), F.get(q, F.lit(1)), F.get(q, F.lit(1))))
+                        .when(v == 0, F.array(F.get(q, F.lit(0)), F.lit(0.0), F.get(q, F.lit(1)), F.lit(0.0)))
+                        .otherwise(F.array(*[F.lit(0.0)] * 4))))), lambda x, y: x + y))
+
+            return F.aggregate(F.col("ps"), F.array_repeat(F.lit(0.0), 2 + 4 * k), add)
+
+        def update(t: Column) -> Column:
+            def rate(i: int, guess: float) -> Column:
+                return F.transform(step, lambda j: (F.get(t, j * 4 + (3 + i)) + strength * guess)
+                                   / (F.get(t, j * 4 + (2 + i)) + strength))
+
+            pos, neg = F.get(t, F.lit(0)), F.get(t, F.lit(1))
+            share = (pos + strength * prior) / (pos + neg + strength)
+            return F.concat(
+                F.array(F.least(F.greatest(share, F.lit(0.01)), F.lit(0.99))),
+                F.transform(rate(0, hit0), lambda x: F.least(F.greatest(x, F.lit(0.5)), F.lit(0.999))),
+                F.transform(rate(2, miss0), lambda x: F.greatest(F.least(x, F.lit(most_miss)), F.lit(0.001))))
+
+        return let(let(weights, sums), update)
+
+    first = F.array(F.lit(prior), *[F.lit(hit0)] * k, *[F.lit(miss0)] * k).cast("array<double>")
+    votes = F.array(*(F.col(c).cast("int") for c in names))
+    pattern = F.struct(votes.alias("v"), F.col(count).cast("double").alias("n"))
+    one = patterns.agg(F.collect_list(pattern).alias("ps"))  # at most 3^k rows
+    found = one.select(F.when(F.size("ps") > 0, F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds)), first, lambda params, _: round_(params))).alias("p")).first()["p"]
+    if found is None:
+        return LabelModel(prior, {c: hit0 for c in names}, {c: miss0 for c in names})
+    return LabelModel(found[0], dict(zip(names, found[1:k + 1])), dict(zip(names, found[k + 1:])))
 
 
 def fit_logistic(rows: DataFrame, names: list[str], weight: str, target: str,
-                 rounds: int = 12, ridge: float = 1e-2) -> list[float]:
-    """Weighted logistic regression by Newton steps; ``target`` may be any
-    probability.  Each step is one aggregation whose gradient and Hessian (a
-    few numbers for the few features) the driver solves.  Returns the bias
-    and one coefficient per feature.  An empty table gives zeros."""
-    xs = [F.lit(1.0), *(F.col(k).cast("double") for k in names)]
-    w = [0.0] * len(xs)
-    for _ in range(rounds):
-        z = sum((x * c for x, c in zip(xs[1:], w[1:])), F.lit(w[0]))
-        p = 1 / (1 + F.exp(-z))
-        n = F.col(weight).cast("double")
-        sums = [F.sum(n * (F.col(target) - p) * x).alias(f"g{i}") for i, x in enumerate(xs)]
-        sums += [F.sum(n * p * (1 - p) * xs[i] * xs[j]).alias(f"h{i}_{j}")
-                 for i in range(len(xs)) for j in range(i, len(xs))]
-        s = rows.agg(F.sum(n).alias("n"), *sums).first()
-        if not s["n"]:
-            return w
-        lam = ridge * max(1.0, s["n"]) / 100
-        g = [s[f"g{i}"] - lam * w[i] * (i > 0) for i in range(len(xs))]
-        h = [[s[f"h{min(i, j)}_{max(i, j)}"] + (lam * (i > 0) + 1e-9 if i == j else 0.0)
-              for j in range(len(xs))] for i in range(len(xs))]
-        step = _solve(h, g)
-        big = max(abs(d) for d in step)
-        step = [d * min(1.0, 5.0 / big) if big else 0.0 for d in step]
-        w = [a + d for a, d in zip(w, step)]
-        if big < 1e-6:
-            break
-    return w
-
-
-def _solve(m: list[list[float]], y: list[float]) -> list[float]:
-    """Gaussian elimination with pivoting, for a handful of unknowns."""
-    k = len(y)
-    a = [row[:] + [v] for row, v in zip(m, y)]
-    for i in range(k):
-        p = max(range(i, k), key=lambda r: abs(a[r][i]))
-        a[i], a[p] = a[p], a[i]
-        if abs(a[i][i]) < 1e-300:
-            a[i][i] = 1e-300
-        for r in range(k):
-            if r != i and a[r][i]:
-                f = a[r][i] / a[i][i]
-                a[r] = [x - f * z for x, z in zip(a[r], a[i])]
-    return [a[i][k] / a[i][i] for i in range(k)]
+                 rounds: int = 300, ridge: float = 1e-4) -> list[float]:
+    """Weighted logistic regression on few rows (at most some thousands, the
+    caller's bound); ``target`` may be any probability.  Each step moves every
+    coefficient by its own Newton step, divided by the number of features so
+    that no step overshoots.  Returns the bias and one coefficient per
+    feature.  An empty table gives zeros."""
+    k = len(names) + 1
+
+    def step(w: Column) -> Column:
+        def add(acc: Column, r: Column) -> Column:
+            z = F.aggregate(F.zip_with(r["x"], w, lambda x, c: x * c), F.lit(0.0), lambda t, x: t + x)
+            return let(1 / (1 + F.exp(-z)), lambda p: F.zip_with(acc, F.concat(
+                F.transform(r["x"], lambda x: r["n"] * (r["y"] - p) * x),
+                F.transform(r["x"], lambda x: r["n"] * p * (1 - p) * x * x)), lambda a, b: a + b))
+
+        total = F.aggregate(F.col("rs"), F.array_repeat(F.lit(0.0), 2 * k), add)
+        small = ridge * F.col("total")
+        return let(total, lambda t: F.transform(w, lambda c, i: c + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (
+            F.get(t, i) - F.when(i > 0, small * c).otherwise(0.0)) / ((F.get(t, i + k) + small) * k)))))
+
+    x = F.array(F.lit(1.0), *(F.col(c).cast("double") for c in names))
+    row = F.struct(x.alias("x"), F.col(weight).cast("double").alias("n"), F.col(target).cast("double").alias("y"))
+    one = rows.agg(F.collect_list(row).alias("rs"), F.coalesce(F.sum(weight), F.lit(0)).cast("double").alias("total"))
+    return list(one.select(F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds)), F.array_repeat(F.lit(0.0), k),
+        lambda w, _: F.when(F.col("total") > 0, step(w)).otherwise(w)).alias("w")).first()["w"])
