@@ -76,6 +76,9 @@ def log_ratios(urls: DataFrame, order: int = ORDER) -> DataFrame:
     contexts = seen.groupBy("context", "k").agg(
         F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"),
         F.count(F.when(F.col("good") > 0, 1)).alias("t_good"), F.count(F.when(F.col("bad") > 0, 1)).alias("t_bad"))
+    # written, so that the join reads plain exchanges and short contexts, which
+    # are hot, are split
+    contexts = materialise(contexts, "url-contexts")
     rated = (parts.select("gram", "k", "seen", "context").join(seen.drop("context"), ["k", "seen"])
              .join(contexts, ["k", "context"]))
     letters = F.lit(float(max(seen.where("k = 0").count(), 1)))  # letters of an alphabet
