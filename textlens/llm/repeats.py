@@ -371,6 +371,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     runs = anchors(keyed.where(F.col("n") >= WIDTH))
     groups = (runs.groupBy("h").agg(F.count(F.lit(1)).alias("times"), (F.min("run") == F.max("run")).alias("same"))
               .where("times > 1").select(F.col("h").alias("g"), "same"))
+    # written, so that the join reads plain exchanges and hot k-grams are split
+    groups = materialise(groups, "repeats-groups")
     met = materialise(runs.join(groups, F.col("h") == F.col("g")).drop("g"), "repeats-runs")
     # of a k-gram with different runs, equal ones repeat each other; one of
     # them goes on to be compared with the others
