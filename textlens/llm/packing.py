@@ -31,8 +31,6 @@ SHARD_TOKENS = 3_000_000
 K1, B = 1.2, 0.75
 #: Tokens of the seed that query the index, weightiest first.
 QUERY_TERMS = 16
-#: Tokens in more than this share of all documents are stop words of the index.
-STOP_SHARE = 0.1
 SPECIAL = "<|endoftext|>"
 
 _ENCODERS: dict[str, object] = {}
@@ -129,8 +127,7 @@ class Shard:
         size = np.array([len(r) for r in rests], dtype=np.float64)
         ids = np.concatenate(rests).astype(np.int64)
         unit = np.repeat(np.arange(count), size.astype(np.int64))
-        known = idf[ids] > 0
-        key, tf = np.unique(ids[known] * count + unit[known], return_counts=True)
+        key, tf = np.unique(ids * count + unit, return_counts=True)
         term, self.unit = key // count, key % count
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.unit] / max(mean, 1.0)))
         self.start = np.searchsorted(term, np.arange(len(idf) + 1))
@@ -232,8 +229,7 @@ def pack_tokens(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
     top = max(df, default=0) + 1
     idf = np.zeros(top)
     for t, k in df.items():
-        if k <= max(STOP_SHARE * n, 1):
-            idf[t] = np.log(1 + (n - k + 0.5) / (k + 0.5))
+        idf[t] = np.log(1 + (n - k + 0.5) / (k + 0.5))  # above 0 even for a token of all documents
     shared = tokens.sparkSession.sparkContext.broadcast(idf)  # one number per token of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
