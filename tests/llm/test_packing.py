@@ -1,6 +1,7 @@
 """Retrieval of the packing operator."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textlens.llm import packing
@@ -16,3 +17,22 @@ def test_tokens_of_a_third_of_the_documents_are_indexed(spark):
         F.sum("length").alias("n"), F.count_distinct(F.col("doc_id") % 3).alias("groups")).collect()
     full = [r["groups"] for r in out if r["n"] == 1000]
     assert len(full) == 12 and sum(g == 1 for g in full) >= 10
+
+
+def test_scores_count_all_tokens_of_the_seed():
+    rng = np.random.default_rng(5)
+    rests = [rng.integers(0, 300, size=n).astype(np.uint32) for n in rng.integers(50, 400, size=40)]
+    idf, mean = rng.uniform(0.01, 3, size=300), 200.0
+    index = packing.Shard(rests, idf, mean)
+
+    def bm25(seed, other):
+        tf = {t: int((other == t).sum()) for t in np.unique(seed)}
+        norm = 1.2 * (1 - 0.75 + 0.75 * len(other) / mean)
+        return sum(idf[t] * f * 2.2 / (f + norm) for t, f in tf.items())
+
+    for seed in (0, 11):
+        assert index.scores(seed) == pytest.approx([bm25(rests[seed], r) for r in rests])
+    free = np.arange(40) % 3 > 0
+    index.drop(free)
+    want = [bm25(rests[4], r) * f for r, f in zip(rests, free)]
+    assert index.scores(4) == pytest.approx(want)

@@ -6,8 +6,8 @@
 3. Shards of consecutive documents: whole windows of a long document are
    sequences of their own; the rests go into a BM25 inverted index of the
    shard.  Each unused rest in turn seeds a window and queries the index with
-   its weightiest tokens; the best unused neighbours fill the window, the last
-   one cut so that nothing is padded, its rest staying in the index.
+   all its tokens; the best unused neighbours fill the window, the last one
+   cut so that nothing is padded, its rest staying in the index.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ TOKENIZER = "byte_bpe_50k.json"
 #: A shard ends with the document that reaches this many tokens of rests.
 SHARD_TOKENS = 3_000_000
 K1, B = 1.2, 0.75
-#: Tokens of the seed that query the index, weightiest first.
-QUERY_TERMS = 16
 SPECIAL = "<|endoftext|>"
 
 _ENCODERS: dict[str, object] = {}
@@ -131,14 +129,21 @@ class Shard:
         term, self.unit = key // count, key % count
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.unit] / max(mean, 1.0)))
         self.start = np.searchsorted(term, np.arange(len(idf) + 1))
-        # per unit: its tokens by weight
-        order = np.lexsort((-self.weight, self.unit))
+        # per unit: its tokens
+        order = np.argsort(self.unit, kind="stable")
         self.terms = term[order]
         self.own = np.searchsorted(self.unit[order], np.arange(count + 1))
         self.count = count
 
+    def drop(self, free: np.ndarray) -> None:
+        """Leave out the postings of units that are not free any more."""
+        keep = free[self.unit]
+        self.unit, self.weight = self.unit[keep], self.weight[keep]
+        self.start = np.r_[0, np.cumsum(keep)][self.start]
+
     def scores(self, seed: int) -> np.ndarray:
-        q = self.terms[self.own[seed]:min(self.own[seed + 1], self.own[seed] + QUERY_TERMS)]
+        """BM25 of every unit for all tokens of the seed."""
+        q = self.terms[self.own[seed]:self.own[seed + 1]]
         if not len(q):
             return np.zeros(self.count)
         spans = [slice(self.start[t], self.start[t + 1]) for t in q.tolist()]
@@ -160,7 +165,7 @@ def pack_shard(lengths: list[int], rests: list[np.ndarray], idf: np.ndarray, mea
     left = np.array([lengths[d] % window for d in docs])
     index = Shard([rests[d] for d in docs], idf, mean)
     free = np.ones(len(docs), bool)
-    first = 0
+    first, indexed = 0, len(docs)
     while True:
         while first < len(docs) and not free[first]:
             first += 1
@@ -180,6 +185,9 @@ def pack_shard(lengths: list[int], rests: list[np.ndarray], idf: np.ndarray, mea
 
         take(first)
         if space:
+            if 4 * (left_over := int(np.count_nonzero(free))) < 3 * indexed:
+                index.drop(free)
+                indexed = left_over
             score = index.scores(first) * free
             for want in (16, len(docs)):
                 k = min(want, len(docs))
