@@ -4,7 +4,7 @@ DuckDB SQL.  Every query reads the whole of its table."""
 from __future__ import annotations
 
 import corpus_pipeline
-from textlens.llm import alignment, hamming, langid, mixing, packing, pii, quality, repeats, revisits, simhash, urlfilter
+from textlens.llm import alignment, hamming, langid, mixing, packing, pii, quality, repeats, revisits, simhash, urlfilter, variants
 from textlens.llm.common import table
 
 
@@ -28,6 +28,7 @@ QUERIES = {
     "op9_retrieval_packing": _documents(packing.pack_query),
     "op10_mix_sources": _documents(mixing.mix_query),
     "op12_token_alignment": _documents(alignment.alignment_query),
+    "op13_spelling_variants": _documents(variants.variants_query),
     "pipeline": corpus_pipeline.run,
 }
 
