@@ -4,7 +4,8 @@ DuckDB SQL.  Every query reads the whole of its table."""
 from __future__ import annotations
 
 import corpus_pipeline
-from textlens.llm import alignment, hamming, langid, mixing, packing, pii, quality, repeats, revisits, simhash, urlfilter, variants
+from textlens.llm import (alignment, hamming, langid, mixing, packing, pii, quality, repeats, revisits, simhash, toxicity,
+                          urlfilter, variants)
 from textlens.llm.common import table
 
 
@@ -27,6 +28,8 @@ QUERIES = {
     "op8_language_id": _documents(langid.langid_query),
     "op9_retrieval_packing": _documents(packing.pack_query),
     "op10_mix_sources": _documents(mixing.mix_query),
+    "op11_toxic_segments": lambda spark, sf_dir: toxicity.toxicity_query(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op12_token_alignment": _documents(alignment.alignment_query),
     "op13_spelling_variants": _documents(variants.variants_query),
     "pipeline": corpus_pipeline.run,
