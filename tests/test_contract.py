@@ -15,7 +15,7 @@ check_spec = importlib.util.spec_from_file_location("check_oracle", os.path.join
 C = importlib.util.module_from_spec(check_spec)
 check_spec.loader.exec_module(C)
 
-ROWS_ONLY = {"semantic_search", "similar_words", "word_similarity", "results_json"}
+ROWS_ONLY = {"approximate_knn", "semantic_search", "similar_words", "word_similarity", "results_json"}
 
 
 def test_every_query_has_sql_or_is_rows_only():
@@ -38,7 +38,7 @@ def duck():
 
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - set(E.LLM_SQL) - {
-    "stream_queries", "stream_pages", "stream_search_requests"}))
+    "stream_queries", "stream_pages"}))
 def test_query_matches_sql(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL).toPandas()
     ddf = duck.sql(E.oracle_sql()[name]).df()

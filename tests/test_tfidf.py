@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import docs_df
 from textlens.functions.words import ENGLISH_STOP_WORDS
@@ -143,3 +144,76 @@ def test_sample_of_real_documents_matches_brute_force(spark):
     vocab, idf, _ = brute_fit(texts)
     got = {r["term"]: r["idf"] for r in idx.vocab.collect()}
     assert set(got) == set(vocab)
+
+
+def exchanges(df):
+    """Exchange lines of the executed plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_fit_and_search_exchange_no_text_and_no_products(spark):
+    from conftest import SF_SMALL
+    from textlens.operators.tfidf import query_vectors, term_column, term_statistics
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    found = exchanges(term_statistics(term_column(docs, "text").select("doc_id", "terms")))
+    assert len(found) == 1 and "hashpartitioning(term" in found[0]
+    idx = fit_tfidf(docs)
+    assert not exchanges(idx.weights)
+    q = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+    assert not exchanges(query_vectors(idx, q))
+    once = search(idx, q, 7)
+    # the k best of each query and partition are all that is shuffled, plus the few lowest ids
+    assert all("hashpartitioning(query_id" in e or "SinglePartition" in e for e in exchanges(once))
+    cut = search(idx, q, 7, slice_bytes=3000)
+    assert "Union" in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert all("hashpartitioning(query_id" in e or "SinglePartition" in e for e in exchanges(cut))
+    assert sorted(cut.collect()) == sorted(once.collect())
+
+
+def test_large_vocabulary_is_joined(spark, monkeypatch):
+    """Above VOCABULARY_IN_TASKS the same weights come from a join."""
+    from conftest import SF_SMALL
+    from textlens.operators import tfidf
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    q = spark.createDataFrame([(1, "the of in and"), (2, None), (3, docs.first()["text"])], "query_id int, query_text string")
+    small = fit_tfidf(docs, max_features=None)
+    want = {(r["doc_id"], r["term"]): r["w"] for r in small.weights.collect()}
+    hits = sorted(search(small, q, 4).collect())
+    monkeypatch.setattr(tfidf, "VOCABULARY_IN_TASKS", 10)
+    big = fit_tfidf(docs, max_features=None)
+    got = {(r["doc_id"], r["term"]): r["w"] for r in big.weights.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(w) for k, w in want.items())
+    assert big.vectors.count() == small.vectors.count() == small.n_docs
+    assert sorted(search(big, q, 4).collect()) == hits
+
+
+def test_running_best_hits_by_brute_force(monkeypatch):
+    import numpy as np
+
+    from textlens.operators import search as S
+
+    rng = np.random.default_rng(4)
+    scores = np.where(rng.random((300, 5)) < 0.4, rng.integers(0, 30, (300, 5)) / 30, 0)
+    k = np.array([1, 3, 10, 100, 2])
+    for ids in (np.arange(300)[::-1].copy(), np.array([f"d{i}" for i in range(300)], object)):
+        monkeypatch.setattr(S, "CELLS", 64)
+        best = S.BestHits(k)
+        for i in range(0, 300, 7):
+            best.add(scores[i:i + 7], ids[i:i + 7])
+        best.settle()
+        for q in range(5):
+            want = sorted((-round(s, 6), d) for s, d in zip(scores[:, q], ids) if s > 0)[:k[q]]
+            mine = best.query == q
+            assert sorted(zip(-best.score[mine], best.doc[mine])) == want
+
+
+def test_text_ids_and_repeated_ids(spark):
+    docs = spark.createDataFrame([("b", "alpha beta"), ("a", "alpha beta"), ("c", "gamma delta")], "doc_id string, text string")
+    idx = fit_tfidf(docs)
+    q = spark.createDataFrame([(1, "alpha"), (2, "")], "query_id int, query_text string")
+    rows = [(r["query_id"], r["rank"], r["doc_id"]) for r in search(idx, q, 2).orderBy("query_id", "rank").collect()]
+    assert rows == [(1, 1, "a"), (1, 2, "b"), (2, 1, "a"), (2, 2, "b")]

@@ -10,10 +10,10 @@ Semantics (smoothed idf, raw term counts, L2 norm):
 * idf       = ln((1 + N) / (1 + df)) + 1
 * weight    = tf * idf / ||tf * idf||_2 over the document's vocabulary terms
 
-Plan shape: the corpus is hash-partitioned by ``doc_id`` once; term counts,
-norms and weights are then computed without another shuffle of document
-data.  Only (term, partial df/cf) rows shuffle for the vocabulary, and the
-vocabulary (at most ``max_features`` rows) is broadcast.
+Plan shape: a document's terms are counted, weighted and normalised inside its
+row.  What shuffles is (term, partial df, partial cf); the corpus' text never
+does, and no copy of it is kept.  The result is one row per document with
+ascending term numbers and their weights, written once.
 """
 
 from __future__ import annotations
@@ -21,33 +21,45 @@ from __future__ import annotations
 from dataclasses import dataclass
 from numbers import Integral
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import NGram, StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textlens.functions.arrays import counted, let
 from textlens.functions.text import strip, tfidf_tokens
 from textlens.functions.words import ENGLISH_STOP_WORDS
-from textlens.operators.common import bounded_broadcast, broadcast_if_small
-from textlens.session import partition_count
+from textlens.operators.common import bounded_broadcast, broadcast_if_small, write_table
+
+#: Vocabularies up to this many terms are sent to the tasks, which then weigh
+#: a document without a join; larger ones are joined by term.
+VOCABULARY_IN_TASKS = 50_000
 
 
 @dataclass
 class TfidfIndex:
-    """A fitted index.  ``docs`` (doc_id, text) is partitioned by doc_id;
-    ``vocab`` is (term, df, cf, idf); ``weights`` is (doc_id, term, w)."""
+    """A fitted index.  ``docs`` (doc_id, text) is the corpus as given, not a
+    copy; ``vocab`` is (term_id, term, df, cf, idf); ``vectors`` is (doc_id,
+    ids ascending, w), one row per document, also for documents without a
+    term of the vocabulary."""
 
     docs: DataFrame
     vocab: DataFrame
-    weights: DataFrame
+    vectors: DataFrame
     n_docs: int
     stop_words: tuple = ENGLISH_STOP_WORDS
     bigrams: bool = True
     max_features: int | None = 5000
+    n_terms: int = 0
 
-    def unpersist(self) -> None:
-        for df in (self.docs, self.vocab, self.weights):
-            df.unpersist()
+    @property
+    def weights(self) -> DataFrame:
+        """(doc_id, term, w), one row per document and term."""
+        long_ = self.vectors.select("doc_id", F.explode(F.arrays_zip("ids", "w")).alias("e"))
+        names = self.vocab.select("term_id", "term")
+        names = bounded_broadcast(names) if self.max_features is not None else broadcast_if_small(names)
+        return long_.select("doc_id", F.col("e.ids").alias("term_id"), F.col("e.w").alias("w")).join(
+            names, "term_id").select("doc_id", "term", "w")
 
 
 def term_column(df: DataFrame, text_col: str, stop_words=ENGLISH_STOP_WORDS,
@@ -68,17 +80,6 @@ def term_column(df: DataFrame, text_col: str, stop_words=ENGLISH_STOP_WORDS,
     return df.drop(toks, kept)
 
 
-def term_counts(df: DataFrame, key: str, text_col: str, stop_words=ENGLISH_STOP_WORDS,
-                bigrams: bool = True) -> DataFrame:
-    """(key, term, tf) for every term of every row."""
-    t = term_column(df.select(key, text_col), text_col, stop_words, bigrams)
-    return (
-        t.select(key, F.explode("terms").alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-
-
 def _limits(n_docs: int, min_df, max_df) -> tuple[float, float]:
     hi = max_df if isinstance(max_df, Integral) else max_df * n_docs
     lo = min_df if isinstance(min_df, Integral) else min_df * n_docs
@@ -87,89 +88,90 @@ def _limits(n_docs: int, min_df, max_df) -> tuple[float, float]:
     return lo, hi
 
 
+def term_statistics(terms: DataFrame) -> DataFrame:
+    """(term, df, cf) of ``terms(terms ARRAY<STRING>)``.  The row of the null
+    term has the number of documents as its df.  Rows are counted in their
+    document first and in their task before the shuffle."""
+    per = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf"))),
+                   F.coalesce(counted(F.col("terms")), F.array().cast("array<struct<term:string,tf:bigint>>")))
+    return terms.select(F.explode(per).alias("e")).select("e.term", "e.tf").groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+def choose_vocabulary(stats: DataFrame, n_docs: int, max_features: int | None, min_df=1, max_df=0.8) -> DataFrame:
+    """(term_id, term, df, cf, idf) of the terms within the df bounds, the
+    ``max_features`` of highest cf, numbered from 0 in that order; a larger
+    vocabulary than VOCABULARY_IN_TASKS without such a bound in any order."""
+    lo, hi = _limits(n_docs, min_df, max_df)
+    kept = stats.where(F.col("term").isNotNull() & (F.col("df") >= lo) & (F.col("df") <= hi))
+    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
+    if max_features is None:
+        max_features = kept.count()
+        if max_features > VOCABULARY_IN_TASKS:  # no order over all terms is needed
+            return kept.select(F.monotonically_increasing_id().alias("term_id"), "term", "df", "cf", idf.alias("idf"))
+    order = [F.col("cf").desc(), F.col("term").asc()]
+    kept = kept.orderBy(*order).limit(max(max_features, 1))
+    rank = F.row_number().over(Window.orderBy(*order)) - 1  # at most max_features rows
+    return kept.select(rank.cast("long").alias("term_id"), "term", "df", "cf", idf.alias("idf"))
+
+
 def fit_tfidf(corpus: DataFrame, max_features: int | None = 5000, min_df=1, max_df=0.8,
-              stop_words=ENGLISH_STOP_WORDS, bigrams: bool = True,
-              partitions: int | None = None) -> TfidfIndex:
+              stop_words=ENGLISH_STOP_WORDS, bigrams: bool = True) -> TfidfIndex:
     """Fit TF-IDF on a (doc_id, text) corpus (already normalised, see
     ``corpus_from_table``).  Raises ``ValueError`` like the reference: empty
     corpus, df bounds that leave nothing (one-document corpus), stop-word-only
-    corpus."""
-    spark = corpus.sparkSession
-    parts = partitions or partition_count(spark)
-    docs = (
-        corpus.select("doc_id", strip(F.col("text")).alias("text"))
-        .where(F.col("text") != "")
-        .repartition(parts, "doc_id")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    n_docs = docs.count()
-    if n_docs == 0:
-        docs.unpersist()
+    corpus.  The corpus is read twice: for the vocabulary and for the weights."""
+    docs = corpus.select("doc_id", strip(F.col("text")).alias("text")).where(F.col("text") != "")
+    terms = term_column(docs, "text", stop_words, bigrams).select("doc_id", "terms")
+    stats = write_table(term_statistics(terms), "tfidf-terms")
+    all_docs = stats.where("term IS NULL").first()
+    if all_docs is None:
         raise ValueError("No documents to index")
-    lo, hi = _limits(n_docs, min_df, max_df)
-
-    # (doc_id, term, tf): grouping keys include doc_id, so the doc_id
-    # partitioning of ``docs`` is reused and nothing is shuffled here.
-    tf = term_counts(docs, "doc_id", "text", stop_words, bigrams).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = tf.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("bigint").alias("cf")
-    )
-    kept = stats.where((F.col("df") >= lo) & (F.col("df") <= hi))
-    if max_features is not None:
-        kept = kept.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
-    vocab = kept.select(
-        "term", "df", "cf",
-        (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    if vocab.count() == 0:
-        empty = stats.limit(1).count() == 0
-        tf.unpersist(); vocab.unpersist(); docs.unpersist()
-        if empty:
+    n_docs = all_docs["df"]
+    vocab = write_table(choose_vocabulary(stats, n_docs, max_features, min_df, max_df), "tfidf-vocabulary")
+    n_terms = vocab.count()
+    if n_terms == 0:
+        if stats.where("term IS NOT NULL").limit(1).count() == 0:
             raise ValueError("empty vocabulary; perhaps the documents only contain stop words")
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
-
-    raw = tf.join(vocab_side(vocab, max_features), "term").select(
-        "doc_id", "term", (F.col("tf") * F.col("idf")).alias("w0")
-    )
-    norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy("doc_id")))
-    # The range partitioner samples its input in a separate job: keep the
-    # normalised weights so they are computed once.
-    normed = raw.select("doc_id", "term", (F.col("w0") / norm).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
-    weights = by_document(normed, parts)
-    normed.unpersist()
-    tf.unpersist()
-    return TfidfIndex(docs=docs, vocab=vocab, weights=weights, n_docs=n_docs,
-                      stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features)
-
-
-def by_document(weights: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Weights laid out by document and kept so.
-
-    A range repartition on doc_id is the root of the cached plan (a hash
-    repartition would be elided where the data already is hash-partitioned),
-    so scans of the cache report doc_id partitioning and searches aggregate
-    (query, doc) scores and take per-partition top-k without a shuffle."""
-    parts = partitions or partition_count(weights.sparkSession)
-    out = weights.repartitionByRange(parts, "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()  # materialise: the cached plan then reports its partitioning
-    return out
-
-
-def vocab_side(vocab: DataFrame, max_features: int | None) -> DataFrame:
-    """(term, idf) for joins: broadcast without a check when the vocabulary
-    is capped by ``max_features``, else only after a row check."""
-    v = vocab.select("term", "idf")
-    return bounded_broadcast(v) if max_features is not None else broadcast_if_small(v)
-
-
-def query_weights(index: TfidfIndex, queries: DataFrame, key: str = "query_id",
+    vectors = write_table(weigh(terms, vocab, n_terms), "tfidf-vectors")
+    return TfidfIndex(docs=docs, vocab=vocab, vectors=vectors, n_docs=n_docs, stop_words=tuple(stop_words),
+                      bigrams=bigrams, max_features=max_features, n_terms=n_terms)
+
+
+def weigh(terms: DataFrame, vocab: DataFrame, n_terms: int) -> DataFrame:
+    """``terms(key, terms)`` -> ``key, ids ARRAY<LONG> ascending, w
+    ARRAY<DOUBLE>``, of length 1 each vector that is not empty.  Terms outside
+    the vocabulary are left out; one row per row, keys need not be unique
+    unless the vocabulary is too large for the tasks."""
+    key = terms.columns[0]
+    if n_terms <= VOCABULARY_IN_TASKS:
+        names = vocab.select("term_id", "term", "idf").orderBy("term_id").collect()  # bounded
+        counts = CountVectorizerModel.from_vocabulary([r["term"] for r in names], inputCol="terms", outputCol="__tf")
+        scaled = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in names]), inputCol="__tf",
+                                    outputCol="__raw")
+        unit = Normalizer(p=2.0, inputCol="__raw", outputCol="__w")
+        v = F.unwrap_udt("__w")
+        return unit.transform(scaled.transform(counts.transform(terms))).select(
+            key, v["indices"].cast("array<long>").alias("ids"), v["values"].alias("w"))
+    per = terms.select(key, F.explode_outer(counted(F.col("terms"))).alias("e")).select(key, "e.term", "e.tf")
+    known = per.join(vocab.select("term", "term_id", "idf"), "term", "left")
+    pair = F.when(F.col("term_id").isNotNull(), F.struct("term_id", (F.col("tf") * F.col("idf")).alias("w")))
+    rows = known.groupBy(key).agg(F.sort_array(F.collect_list(pair)).alias("p"))
+    return rows.select(key, F.transform("p", lambda x: x["term_id"]).alias("ids"),
+                       _unit(F.transform("p", lambda x: x["w"])).alias("w"))
+
+
+def _unit(w: Column) -> Column:
+    norm = lambda a: F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
+    return let(w, lambda a: let(norm(a), lambda n: F.transform(a, lambda x: x / n)))
+
+
+def query_vectors(index: TfidfIndex, queries: DataFrame, key: str = "query_id",
                   text_col: str = "query_text") -> DataFrame:
-    """(key, term, w): query vectors in the fitted space.  Terms outside the
-    vocabulary are dropped (inner join with the broadcast vocabulary) and the
-    rest L2-normalised; an all-unknown query has no rows (zero vector)."""
-    tf = term_counts(queries, key, text_col, index.stop_words, index.bigrams)
-    raw = tf.join(vocab_side(index.vocab, index.max_features), "term").select(
-        key, "term", (F.col("tf") * F.col("idf")).alias("w0")
-    )
-    norm = F.sqrt(F.sum(F.col("w0") * F.col("w0")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("w0") / norm).alias("w"))
+    """``key, ids, w``: query vectors in the fitted space.  Terms outside the
+    vocabulary are dropped and the rest L2-normalised; an all-unknown query
+    has an empty vector."""
+    t = term_column(queries.select(key, F.coalesce(text_col, F.lit("")).alias(text_col)), text_col,
+                    index.stop_words, index.bigrams)
+    return weigh(t.select(key, "terms"), index.vocab, index.n_terms)

@@ -16,7 +16,7 @@ from textlens.sources.logs import results_csv, results_json, write_logs
 from textlens.session import checkpoint_dir
 from textlens.streaming.pages import start_page_stream
 from textlens.streaming.queries import start_query_stream
-from textlens.operators.semantic import (centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
+from textlens.operators.semantic import (approximate_knn, centroids, fit_word_vectors, knn, mean_vectors, semantic_search,
                                          similar_words, tokenize, word_similarity, word_vectors)
 from textlens.operators.pages import (crawl_items, crawl_stats, extract_documents, extract_links, resolve,
                                       traverse, url_host, walk)
@@ -101,7 +101,7 @@ def q_postings_nested(spark, sf_dir):
 
 def q_index_stats(spark, sf_dir):
     idx = tfidf_index(spark, sf_dir)
-    return index_stats(postings_table(spark, sf_dir), idx.docs, idx.vocab)
+    return index_stats(postings_table(spark, sf_dir), idx.vectors, idx.vocab)
 
 
 _DICT_CACHE: dict[tuple, DataFrame] = {}
@@ -121,7 +121,7 @@ _KEYS_CACHE: dict[tuple, DataFrame] = {}
 
 
 def spell_keys(spark, sf_dir) -> DataFrame:
-    """Deletion-neighbourhood keys of the dictionary, built once and reused
+    """Segment keys of the dictionary, built once and reused
     by every spelling query (persisted)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _KEYS_CACHE:
@@ -254,6 +254,14 @@ def q_knn_l2(spark, sf_dir):
     return knn(q, vec.select("vec_id", "vec"), 10, key="vec_id")
 
 
+def q_approximate_knn(spark, sf_dir):
+    """The same neighbours by random projections (recall is tested against
+    ``knn_l2``)."""
+    vec = embedding_vectors(spark, sf_dir)
+    q = centroids(vec.select("label", "vec"), "label").select(F.col("label").cast("long").alias("query_id"), "vec")
+    return approximate_knn(q, vec.select("vec_id", "vec"), 2.0, 10, key="vec_id")
+
+
 def rule_vectors(words: DataFrame) -> DataFrame:
     """Deterministic 3-d word vectors from the word's length and first and
     last code points: a checkable stand-in for trained vectors."""
@@ -347,7 +355,7 @@ def q_results_json(spark, sf_dir):
 
 
 def q_health(spark, sf_dir):
-    return health(tfidf_index(spark, sf_dir).docs, spell_dictionary(spark, sf_dir))
+    return health(tfidf_index(spark, sf_dir).vectors, spell_dictionary(spark, sf_dir))
 
 
 def q_corpus_ready(spark, sf_dir):
@@ -406,7 +414,6 @@ def q_saved_index_search(spark, sf_dir):
     fitted = fit_tfidf(corpus_from_table(table(spark, sf_dir, "documents")), max_features=2000,
                        stop_words=SAVED_STOP_WORDS, bigrams=False)
     save_tfidf(fitted, path)
-    fitted.unpersist()
     return search(load_tfidf(spark, path), bench_queries(spark, sf_dir), 5)
 
 
@@ -421,13 +428,15 @@ def q_corpus_file(spark, sf_dir):
 
 def request_table(spark, sf_dir) -> DataFrame:
     """Requests of all kinds: whole conversation turns as queries (every 17th
-    too short; turns above the longest query are rejected as too long), k from
+    too short, every 19th said forty times over; turns above the longest query
+    are rejected as too long), k from
     the turn number, some out of range or no number, correction on and off."""
     c = table(spark, sf_dir, "conversations")
     n = F.col("conv_id") * 1000 + F.col("turn")
     k = (F.when(n % 11 == 0, F.lit("x")).when(n % 13 == 0, F.repeat(F.lit("9"), F.lit(45)))
          .otherwise((n % 7).cast("string")))
-    text = F.regexp_replace("text", r"(^|\s)(\p{L})\p{L}(\p{L}{4,})", "$1$2$3")
+    text = F.when(n % 19 == 0, F.repeat(F.concat("text", F.lit(" ")), 40)).otherwise(F.col("text"))
+    text = F.regexp_replace(text, r"(^|\s)(\p{L})\p{L}(\p{L}{4,})", "$1$2$3")
     return c.where("role = 'user'").select(
         n.alias("query_id"), F.when(n % 17 == 0, F.substring(text, 1, 1)).otherwise(text).alias("query_text"),
         k.alias("top_k"), (n % 2 == 0).alias("auto_correct"))
@@ -547,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "traverse": q_traverse,
     "crawl_stats": q_crawl_stats,
     "knn_l2": q_knn_l2,
+    "approximate_knn": q_approximate_knn,
     "word_mean_vectors": q_word_mean_vectors,
     "semantic_search": q_semantic_search,
     "similar_words": q_similar_words,

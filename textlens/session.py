@@ -11,8 +11,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Ceiling on rows for any side we broadcast after a size check.
-DEFAULT_BROADCAST_ROWS = 200_000
+# Ceilings on bytes and rows for any side we broadcast after a size check.
+MAX_BROADCAST_BYTES = 64 << 20
+DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def get_spark(master: str | None = None, partitions: int | None = None, app: str = "textlens") -> SparkSession:
