@@ -15,7 +15,7 @@ check_spec = importlib.util.spec_from_file_location("check_oracle", os.path.join
 C = importlib.util.module_from_spec(check_spec)
 check_spec.loader.exec_module(C)
 
-ROWS_ONLY = {"approximate_knn", "semantic_search", "similar_words", "word_similarity", "results_json"}
+ROWS_ONLY = {"approximate_knn", "semantic_search", "similar_words", "similar_words_factors", "word_similarity", "results_json"}
 
 
 def test_every_query_has_sql_or_is_rows_only():

@@ -1,0 +1,166 @@
+"""Index files read by byte ranges, bucketed tables, sketches and segments."""
+
+import io
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL, docs_df
+from textlens.operators.postings import approximate_terms, build_postings, term_sketches
+from textlens.operators.tfidf import fit_tfidf
+from textlens.sources import index_json
+from textlens.sources.index_io import (read_bucketed, read_legacy_index, term_lookup, write_bucketed,
+                                       write_index_tables)
+from textlens.sources.index_json import postings_in, write_index_objects
+from textlens.streaming.index import index_of_segments, merged_statistics, start_index_stream, write_segment
+
+ODD = {"alpha": [["u1", [0, 2]], ['quo"te], ', [1]]], "b{e}ta": [], "été": [["id: [[", []]], "back\\slash": [["日本", [7]]],
+       "index": [["x]]], ", [3, 4, 5]], ["y", [6]]], "": [["z", [1]]], "long" * 50: [["a" * 300, list(range(200))]]}
+
+
+def flat(index):
+    return [(t, str(d), list(p)) for t, pairs in index.items() for d, p in pairs]
+
+
+def ranges(data, split):
+    out = []
+    for at in range(0, len(data), split):
+        out += list(postings_in(io.BytesIO(data), at, min(at + split, len(data))))
+    return out
+
+
+@pytest.mark.parametrize("indent", [None, 4])
+@pytest.mark.parametrize("ascii_", [True, False])
+@pytest.mark.parametrize("wrapped", [True, False])
+def test_every_split_gives_every_posting_once(monkeypatch, indent, ascii_, wrapped):
+    monkeypatch.setattr(index_json, "BLOCK", 64)  # many refills of the window
+    data = json.dumps({"index": ODD} if wrapped else ODD, indent=indent, ensure_ascii=ascii_).encode()
+    for split in (1, 7, 64, 333, 1000, len(data) - 1, len(data), 10 * len(data)):
+        assert ranges(data, split) == flat(ODD), split
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.text(max_size=8), st.lists(st.tuples(
+    st.one_of(st.text(max_size=5), st.integers(0, 99)), st.lists(st.integers(0, 9), max_size=3)), max_size=4), max_size=6),
+    st.integers(1, 120), st.sampled_from([None, 1, 4]), st.booleans())
+def test_random_objects(index, split, indent, wrapped):
+    index = {k: [list(p) for p in v] for k, v in index.items()}
+    data = json.dumps({"index": index} if wrapped else index, indent=indent, ensure_ascii=False).encode("utf-8", "replace")
+    assert ranges(data, split) == flat(json.loads(data)["index"] if wrapped else json.loads(data))
+
+
+@pytest.mark.parametrize("text", ["{}", '{"index": {}}', "  {  }  ", ""])
+def test_empty_objects(text):
+    assert ranges(text.encode() or b" ", 3) == []
+
+
+def test_truncated_file_is_an_error():
+    data = json.dumps({"index": ODD}).encode()[:-40]
+    with pytest.raises(ValueError):
+        ranges(data, 10_000)
+
+
+def test_large_file_read_by_many_tasks(spark, tmp_path):
+    index = {f"term{i}": [[f"doc-{j}", [j, j + i]] for j in range(i % 50)] for i in range(3000)}
+    for name, obj in (("wrapped", {"index": index}), ("bare", index)):
+        with open(tmp_path / f"{name}.json", "w") as f:
+            json.dump(obj, f, indent=4)
+        df = read_legacy_index(spark, str(tmp_path / f"{name}.json"), split_bytes=200_000)
+        assert df.rdd.getNumPartitions() > 10
+        assert sorted((r["term"], r["doc_id"], list(r["positions"])) for r in df.collect()) == sorted(flat(index))
+
+
+def test_objects_written_and_read(spark, tmp_path):
+    p = build_postings(docs_df(spark, ["alpha beta alpha", "beta gamma delta", "the beta"] * 5))
+    write_index_objects(p, str(tmp_path / "objects"), 3)
+    merged = {}
+    for f in (tmp_path / "objects").glob("part-*"):
+        for t, pairs in json.loads(f.read_text())["index"].items():
+            merged.setdefault(t, []).extend(pairs)
+    want = {}
+    for r in p.collect():
+        want.setdefault(r["term"], []).append([r["doc_id"], list(r["positions"])])
+    assert {t: sorted(v) for t, v in merged.items()} == {t: sorted(v) for t, v in want.items()}
+    back = read_legacy_index(spark, str(tmp_path / "objects"), split_bytes=50)
+    assert sorted((r["term"], int(r["doc_id"]), list(r["positions"])) for r in back.collect()) == sorted(
+        (r["term"], r["doc_id"], list(r["positions"])) for r in p.collect())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_join_without_an_exchange(spark, tmp_path):
+    idx = fit_tfidf(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text"))
+    p = build_postings(idx.docs)
+    write_index_tables(p, idx.vocab, str(tmp_path / "tables"), 8)
+    tables = [f"{tmp_path}/tables/{n}" for n in ("postings", "vocabulary")]
+    for path in tables:  # as a later session finds them
+        name = spark.read.parquet(f"{path}.layout").first()["table"]
+        spark.sql(f"DROP TABLE {name}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        postings, vocab = (read_bucketed(spark, t) for t in tables)
+        joined = postings.join(vocab, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        want = p.join(idx.vocab, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        assert sorted(joined.collect()) == sorted(want.collect())
+        # a lookup moves the asked terms only
+        asked = spark.createDataFrame([("the",), ("the",), ("nowhere",)], "term string")
+        found = term_lookup(asked, postings)
+        moved = [line for line in plan(found).splitlines() if "Exchange" in line]
+        assert all("Scan parquet" not in line for line in moved) and len(moved) <= 2
+        assert postings.where("term = 'the'").inputFiles()
+        r = p.where("term = 'the'")
+        assert [tuple(x) for x in found.collect()] == [
+            ("the", r.count(), r.select(F.sum(F.size("positions"))).first()[0])]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert postings.exceptAll(p.select("term", "doc_id", "positions")).count() == 0
+
+
+def test_bucketed_table_is_overwritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (5, 3):
+        write_bucketed(spark.range(n).select(F.col("id").cast("string").alias("term"), "id"), path, "term", 2)
+        assert read_bucketed(spark, path).count() == n
+
+
+def test_sketches_merge(spark):
+    p = spark.range(30_000).select(F.concat(F.lit("t"), F.col("id") % 9000).alias("term"), F.col("id").alias("doc_id"))
+    sketches = term_sketches(p, F.col("doc_id") % 7)
+    assert sketches.count() == 7
+    r = approximate_terms(sketches).first()
+    assert r["low"] <= 9000 <= r["high"] and r["high"] - r["low"] < 9000 * 0.06
+    one = approximate_terms(sketches.where("part = 0")).first()
+    assert one["low"] <= 30_000 // 7 <= one["high"] + 1
+    assert tuple(approximate_terms(sketches.limit(0)).first()) == (0, 0, 0)
+
+
+def test_segments_equal_one_fit(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    docs.repartition(3).write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    start_index_stream(spark, str(tmp_path / "in"), out, str(tmp_path / "c"), "doc_id long, text string",
+                       max_files=1).awaitTermination()
+    from textlens.sources.corpus import corpus_from_table
+
+    corpus = corpus_from_table(docs)
+    whole = fit_tfidf(corpus)
+    columns = ["term", "df", "cf", F.round("idf", 9)]
+    want = sorted(whole.vocab.select(*columns).collect())
+    index = index_of_segments(spark, out)
+    assert sorted(index.vocab.select(*columns).collect()) == want and index.n_docs == whole.n_docs
+    assert len(list((tmp_path / "out" / "terms").glob("segment=*"))) == 3
+    assert index.vectors.count() == whole.vectors.count()
+    # a batch that is replayed replaces its segment
+    again = spark.read.parquet(f"{out}/documents").where("segment = 1").select("doc_id", "text")
+    write_segment(spark.createDataFrame(again.collect(), again.schema), out, "000000001")
+    assert sorted(index_of_segments(spark, out).vocab.select(*columns).collect()) == want
+    assert merged_statistics(spark, out).where("term IS NULL").first()["df"] == whole.n_docs
+    postings = spark.read.parquet(f"{out}/postings").select("term", "doc_id", "positions")
+    assert postings.exceptAll(build_postings(whole.docs)).count() == 0

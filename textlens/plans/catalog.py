@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.operators.postings import build_postings, index_stats, nest_postings, postings_text
+from textlens.operators.postings import (approximate_terms, build_postings, document_postings, index_stats,
+                                         nest_postings, postings_text, term_sketches)
 from textlens.operators.search import search, with_preview
 from textlens.operators.status import corpus_ready, health
 from textlens.sources.logs import results_csv, results_json, write_logs
@@ -27,7 +28,11 @@ from textlens.operators.validate import validate_queries
 from textlens.plans.search_service import search_with_spelling
 from textlens.operators.tfidf import TfidfIndex, fit_tfidf
 from textlens.sources.corpus import corpus_from_table, read_corpus_text, write_corpus_text
-from textlens.sources.index_io import load_tfidf, save_tfidf
+from textlens.operators.word_factors import factorise_words
+from textlens.sources.index_io import (load_tfidf, read_bucketed, read_legacy_index, save_tfidf, term_lookup,
+                                       write_bucketed)
+from textlens.sources.index_json import write_index_objects
+from textlens.streaming.index import index_of_segments, start_index_stream
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -494,6 +499,54 @@ def q_postings_ascii(spark, sf_dir):
     return p.select("term", "doc_id", F.array_join("positions", ",").alias("positions"))
 
 
+def q_postings_lookup(spark, sf_dir):
+    """Documents and positions of the words of the benchmark passages, from
+    postings stored in buckets by term."""
+    path = _stream_dir(spark, "bucketed")
+    write_bucketed(postings_table(spark, sf_dir), path, "term", 16, ["doc_id"])
+    words = F.explode(document_postings(F.col("text"))).alias("p")
+    asked = table(spark, sf_dir, "benchmark").select(words).select("p.term")
+    return term_lookup(asked, read_bucketed(spark, path))
+
+
+def q_index_objects(spark, sf_dir):
+    """Postings written as one-object JSON files and read back by byte
+    ranges."""
+    path = _stream_dir(spark, "index-objects")
+    write_index_objects(postings_table(spark, sf_dir), path, 4)
+    back = read_legacy_index(spark, path, split_bytes=1 << 18)
+    return back.select("term", F.col("doc_id").cast("long").alias("doc_id"),
+                       F.array_join("positions", ",").alias("positions"))
+
+
+def q_term_totals(spark, sf_dir):
+    """Different terms of the postings: exact, and whether the estimate from
+    merged sketches of 16 parts of the documents has them between its bounds."""
+    p = postings_table(spark, sf_dir)
+    sketches = term_sketches(p, F.pmod(F.col("doc_id"), F.lit(16)))
+    exact = p.agg(F.count_distinct("term").alias("total_terms"))
+    return exact.join(F.broadcast(approximate_terms(sketches))).select(
+        "total_terms", F.col("total_terms").between(F.col("low"), F.col("high")).alias("within_bounds"))
+
+
+def q_stream_index(spark, sf_dir):
+    """Vocabulary of an index fed by a stream of the documents in several
+    batches."""
+    base = _stream_dir(spark, "index")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartition(3, "doc_id").write.parquet(f"{base}/in")
+    start_index_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", "doc_id long, text string",
+                       max_files=1).awaitTermination()
+    v = index_of_segments(spark, f"{base}/out").vocab
+    return v.select("term", "df", "cf", F.round("idf", 9).alias("idf"))
+
+
+def q_similar_words_factors(spark, sf_dir):
+    """Most similar words by vectors of the factorised co-occurrences."""
+    words = _bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct()
+    return similar_words(words, factorise_words(doc_tokens(spark, sf_dir)), 5)
+
+
 def rule_word_table(spark, sf_dir) -> DataFrame:
     return rule_vectors(_bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct())
 
@@ -580,4 +633,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similar_words_rule": q_similar_words_rule,
     "word_similarity_rule": q_word_similarity_rule,
     "semantic_search_rule": q_semantic_search_rule,
+    "postings_lookup": q_postings_lookup,
+    "index_objects": q_index_objects,
+    "term_totals": q_term_totals,
+    "stream_index": q_stream_index,
+    "similar_words_factors": q_similar_words_factors,
 }

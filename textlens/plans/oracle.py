@@ -435,6 +435,16 @@ pairs AS (SELECT DISTINCT a.word AS word1, b.word AS word2 FROM btok a JOIN btok
 SELECT word1, word2, round((a.x0 * b.x0 + a.x1 * b.x1 + a.x2 * b.x2)
          / (sqrt(a.x0 * a.x0 + a.x1 * a.x1 + a.x2 * a.x2) * sqrt(b.x0 * b.x0 + b.x1 * b.x1 + b.x2 * b.x2)), 6) AS similarity
 FROM pairs JOIN wv a ON a.word = word1 JOIN wv b ON b.word = word2""",
+    "postings_lookup": "WITH " + POSTINGS + r""",
+bw AS (
+  SELECT DISTINCT regexp_replace(unnest(string_split_regex(lower(text), '\s+')), '[^\p{L}\p{N}]', '', 'g') AS term
+  FROM benchmark
+)
+SELECT term, count(*) AS n_docs, CAST(sum(len(positions)) AS BIGINT) AS n_positions
+FROM postings JOIN bw USING (term) GROUP BY term""",
+    "index_objects": "WITH " + POSTINGS + "\nSELECT term, doc_id, array_to_string(positions, ',') AS positions FROM postings",
+    "term_totals": "WITH " + POSTINGS + "\nSELECT count(DISTINCT term) AS total_terms, true AS within_bounds FROM postings",
+    "stream_index": "WITH " + TFIDF + "\nSELECT term, df, cf, round(idf, 9) AS idf FROM vocab",
     "corrected_text": "WITH " + TFIDF + ",\n" + MISSPELLED_SQ + "," + SPELL + "\nSELECT query_id, corrected FROM chk",
     "result_log": "SELECT r.query_id, r.rank, r.doc_id AS document_id, b.text AS query_text FROM ("
     + search_sql(BENCH_QUERIES, 5) + ") r JOIN benchmark b ON b.item_id = r.query_id",
