@@ -81,17 +81,23 @@ def test_log_odds_by_plain_counts(spark):
         share = (st_ + nt / (nt + no)) / (st_ + so + 1)
         k = 1 + 0.05 * scale * tokens.get(w, 0)
         want = math.log((tox.get(w, 0) + k * share) / nt) - math.log((other.get(w, 0) + k * (1 - share)) / no)
-        assert model.lexicon.log_odds(w) == pytest.approx(want, abs=1e-4)
+        assert model.lexicon.log_odds([w])[0] == pytest.approx(want, abs=1e-4)
 
 
 def test_a_word_said_again_adds_nothing():
-    s = toxicity.Scores({"bad": 3.0, "very": 0.5}.__getitem__)
+    s = toxicity.Scores(lambda ws: np.array([{"bad": 3.0, "very": 0.5}[w] for w in ws]))
     assert s.of("very bad bad BAD very bad").tolist() == [0.0, 2.5, -0.5, -0.5, 0.0, 2.5]
     assert len(s.of("")) == 0
     long_ = s.of("very bad " * 100_000)
     assert len(long_) == 200_000 and long_.sum() == 250_000
 
 
+def test_buckets_of_one_and_of_many():
+    found = ["a", "été", "straße", "x" * 200, "日本"]
+    assert toxicity.buckets(found).tolist() == [toxicity.word_buckets(w) for w in found]
+    assert toxicity.buckets([]).shape == (0, toxicity.ROWS + 1)
+
+
 def test_extreme_value_law():
     r = np.random.default_rng(7)
     size = r.integers(20, 2000, 20_000)

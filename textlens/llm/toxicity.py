@@ -64,11 +64,19 @@ def words(text: str) -> Iterator[str]:
     return iter(WORD.findall(low)) if len(low) <= LONG_TEXT else (m.group() for m in WORD.finditer(low))
 
 
-def buckets(word: str) -> list[int]:
-    """A word's bucket in each row, then its stem's."""
+def buckets(found: list[str]) -> np.ndarray:
+    """Each word's bucket in each row, then its stem's."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found))
+    stem = np.fromiter((xxhash.xxh64_intdigest(w[:STEM], 1) for w in found), np.uint64, len(found))
+    rows = [(h >> np.uint64(32 * row)) % np.uint64(BUCKETS) + np.uint64(row * BUCKETS) for row in range(ROWS)]
+    return np.stack([*rows, stem % np.uint64(BUCKETS) + np.uint64(ROWS * BUCKETS)], axis=1).astype(np.int64)
+
+
+def word_buckets(word: str) -> list[int]:
+    """The same of a single word."""
     h = xxhash.xxh64_intdigest(word)
-    return [row * BUCKETS + (h >> (32 * row)) % BUCKETS for row in range(ROWS)] + [
-        ROWS * BUCKETS + xxhash.xxh64_intdigest(word[:STEM], 1) % BUCKETS]
+    return [(h >> (32 * row)) % BUCKETS + row * BUCKETS for row in range(ROWS)] + [
+        xxhash.xxh64_intdigest(word[:STEM], 1) % BUCKETS + ROWS * BUCKETS]
 
 
 # ---------------------------------------------------------------- segments
@@ -106,16 +114,14 @@ class Scores(dict):
         super().__init__()
         self.log_odds = log_odds
 
-    def __missing__(self, word: str) -> float:
-        if len(self) > MEMO:
-            self.clear()
-        s = self[word] = self.log_odds(word) - DRIFT
-        return s
-
     def of(self, text: str) -> np.ndarray:
         """Scores of a text's words; one said again at once adds nothing."""
         found, parts, last = words(text), [], None
         while part := list(islice(found, 1 << 16)):
+            if len(self) > MEMO:
+                self.clear()
+            if new := [w for w in set(part) if w not in self]:
+                self.update(zip(new, (self.log_odds(new) - DRIFT).tolist()))
             again = np.fromiter(map(eq, part, chain((last,), part)), bool, len(part))
             parts.append(np.where(again, -DRIFT, np.fromiter(map(self.__getitem__, part), np.float64, len(part))))
             last = part[-1]
@@ -134,15 +140,16 @@ class Lexicon:
     def __post_init__(self):
         self.n_toxic, self.n_other = (max(float(x[:BUCKETS].sum()), 1.0) for x in (self.toxic, self.other))
 
-    def log_odds(self, word: str) -> float:
-        *rows, stem = buckets(word)
+    def log_odds(self, found: list[str]) -> np.ndarray:
+        at = buckets(found)
+        rows, stem = at[:, :ROWS], at[:, ROWS]
         # a stem's pseudo-occurrences fall to the classes by their sums, a word's as its stem's counts
         base = self.n_toxic / (self.n_toxic + self.n_other)
-        t, o = float(self.toxic[stem]), float(self.other[stem])
+        t, o = self.toxic[stem].astype(np.float64), self.other[stem].astype(np.float64)
         share = (t + PRIOR * base) / (t + o + PRIOR)
-        k = PRIOR + PRIOR_SHARE * float(min(self.corpus[i] for i in rows))
-        toxic, other = (float(min(x[i] for i in rows)) for x in (self.toxic, self.other))
-        return float(np.log((toxic + k * share) / self.n_toxic) - np.log((other + k * (1 - share)) / self.n_other))
+        toxic, other, corpus = (x[rows].min(axis=1).astype(np.float64) for x in (self.toxic, self.other, self.corpus))
+        k = PRIOR + PRIOR_SHARE * corpus
+        return np.log((toxic + k * share) / self.n_toxic) - np.log((other + k * (1 - share)) / self.n_other)
 
 
 @dataclass
@@ -238,7 +245,7 @@ def count_corpus(docs: DataFrame) -> np.ndarray:
         sums = np.zeros((ROWS + 1) * BUCKETS)
 
         def settle() -> None:
-            at = np.array([buckets(w) for w in total], np.int64).reshape(-1, ROWS + 1)
+            at = buckets(list(total))
             n = np.fromiter(total.values(), np.int64, len(total))
             sums[:] += np.bincount(at.ravel(), np.repeat(n, ROWS + 1), len(sums))
             total.clear()
@@ -278,7 +285,7 @@ def count_contexts(docs: DataFrame) -> DataFrame:
                     key = (y, xxhash.xxh64_intdigest(f"{before} {word}") - (1 << 63))
                     if key not in seen:
                         if word not in known:
-                            known[word] = buckets(word)
+                            known[word] = word_buckets(word)
                         seen[key] = known[word]
                         if len(seen) > MEMO:
                             yield out()
