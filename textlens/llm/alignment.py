@@ -18,7 +18,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from itertools import chain, islice
 
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from textlens.llm.common import materialise
+from textlens.llm.segments import SEGMENT, WHITE
 from textlens.session import ship_package
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k", "piece_bpe_32k.model"
@@ -40,11 +40,8 @@ PIECE_CHARS, BLOCK_CHARS = 1 << 20, 1 << 23
 #: Segments remembered per process, and probes of one interval before the rest
 #: of it is looked at in one go.
 MEMO, PROBES = 300_000, 16
-
-# The White_Space characters of Unicode other than the space.
-WHITE = "".join(map(chr, (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
-                          0x205F, 0x3000)))
-SEGMENT = re.compile(f" *[^ ]+(?:(?<=[{WHITE}]) +[^ ]*)*| +")
+#: New segments are encoded together, about this many characters at a time.
+JOINED_CHARS = 1 << 12
 
 
 class Encoder:
@@ -82,29 +79,67 @@ class Encoder:
         self.count = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.start = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.good = np.zeros(0, bool)
+        self.fresh: list[tuple] = []
 
     def lookup(self, segments: list[str]) -> np.ndarray:
         """Numbers of the segments in the memory."""
         if len(self.index) > MEMO or self.chars > 32 * MEMO:
             self.forget()
         new = list({s: None for s in segments if s not in self.index})
-        if new:
-            ids_a = [self.a.encode_ordinary(s) for s in new]
-            # the model itself puts a space before a text
-            ids_b = [i if s != " " else [self.space]
-                     for s, i in zip(new, self.b.encode([s[1:] for s in new], num_threads=1))]
-            raw = [s.encode() for s in new]
-            good = [b"".join(map(self.bytes_a.__getitem__, i)) == r and b"".join(map(self.bytes_b.__getitem__, j)) == r
-                    for i, j, r in zip(ids_a, ids_b, raw)]
-            for side, ids in enumerate((ids_a, ids_b)):
-                self.ids[side] = np.concatenate([self.ids[side], np.fromiter(chain.from_iterable(ids), np.int32)])
-                self.count[side] = np.concatenate([self.count[side], np.array([len(i) for i in ids], np.int64)])
-            self.good = np.concatenate([self.good, np.array(good, bool)])
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.chars += sum(map(len, new))
-            self.start = [np.cumsum(c) - c for c in self.count]
+        # a segment that ends in white space is the last of its text; others may be joined for encoding
+        tails = [s for s in new if s[-1] == " " or s[-1] in WHITE]
+        if tails:
+            new = [s for s in new if not (s[-1] == " " or s[-1] in WHITE)]
+        batch, chars = [], 0
+        for s in new:
+            batch.append(s)
+            chars += len(s)
+            if chars >= JOINED_CHARS:
+                self._learn(batch)
+                batch, chars = [], 0
+        for part in (batch, *([s] for s in tails)):
+            self._learn(part)
+        self._settle()
         return np.fromiter(map(self.index.__getitem__, segments), np.int64, len(segments))
 
+    def _learn(self, segments: list[str]) -> None:
+        """Encode segments as one text and divide the tokens among them."""
+        if not segments:
+            return
+        text = "".join(segments)
+        raw = text.encode()
+        size = np.array([len(s) for s in segments] if len(raw) == len(text) else [len(s.encode()) for s in segments])
+        # the model of B itself puts a space before a text
+        sides = self.a.encode_ordinary(text), self.b.encode(text[1:]) if text != " " else [self.space]
+        for ids, names in zip(sides, (self.bytes_a, self.bytes_b)):
+            if b"".join(map(names.__getitem__, ids)) != raw:
+                if len(segments) > 1:  # find the ones that do not come back
+                    for s in segments:
+                        self._learn([s])
+                    return
+                self._keep(segments, ([], []), [np.zeros(1, np.int64)] * 2, False)
+                return
+        arrays = [np.array(ids, np.int32) for ids in sides]
+        ends = np.cumsum(size)
+        counts = [np.diff(np.searchsorted(np.cumsum(n[i]), ends, "right"), prepend=0)
+                  for i, n in zip(arrays, (self.size_a, self.size_b))]
+        self._keep(segments, arrays, counts, True)
+
+    def _keep(self, segments: list[str], ids, counts, good: bool) -> None:
+        first = len(self.index)
+        self.index.update(zip(segments, range(first, first + len(segments))))
+        self.chars += sum(map(len, segments))
+        self.fresh.append((*ids, *counts, np.full(len(segments), good)))
+
+    def _settle(self) -> None:
+        if self.fresh:
+            a, b, na, nb, good = (np.concatenate(x) for x in zip(*self.fresh))
+            self.fresh = []
+            self.ids = [np.concatenate([x, y]).astype(np.int32) for x, y in zip(self.ids, (a, b))]
+            self.count = [np.concatenate([x, y]) for x, y in zip(self.count, (na, nb))]
+            self.good = np.concatenate([self.good, good])
+            self.start = [np.cumsum(c) - c for c in self.count]
+
     def tokens(self, side: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the segments in a row, and how many each has."""
         n = self.count[side][codes]
@@ -207,7 +242,7 @@ class Piece:
         self.link_a = np.concatenate([np.arange(len(ends[0])), back])
         self.link_b = np.concatenate([to, alone])
 
-    def text(self, enc: Encoder, strings: list[bytes]) -> list[bytes]:
+    def text(self, enc: Encoder, strings: np.ndarray) -> list[bytes]:
         """Per document its groups as ``a1,a2|b1;`` each."""
         (ids_a, ids_b), (cut_a, cut_b) = self.ids, self.cuts
         last_a, last_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
@@ -218,15 +253,16 @@ class Piece:
         out[np.arange(len(ids_a)) + before_b] = ids_a * 2 + last_a
         upto_a = np.r_[cut_a, 0][np.cumsum(last_b) - last_b]
         out[np.arange(len(ids_b)) + upto_a] = (ids_b + len(enc.bytes_a)) * 2 + last_b
-        words = list(map(strings.__getitem__, out.tolist()))
         at = (self.bounds[0] + self.bounds[1]).tolist()
-        return [b"".join(words[i:j]) for i, j in zip(at, at[1:])]
+        # strings of one width, filled with zero bytes
+        return [strings[out[i:j]].tobytes().translate(None, b"\0") for i, j in zip(at, at[1:])]
 
 
-def _strings(enc: Encoder) -> list[bytes]:
+def _strings(enc: Encoder) -> np.ndarray:
     """``id,`` / ``id|`` for A and ``id,`` / ``id;`` for B, by 2 x id + last."""
-    return [b"%d%s" % (i, end) for n, ends in ((len(enc.bytes_a), (b",", b"|")), (len(enc.bytes_b), (b",", b";")))
-            for i in range(n) for end in ends]
+    return np.array([b"%d%s" % (i, end) for n, ends in ((len(enc.bytes_a), (b",", b"|")),
+                                                        (len(enc.bytes_b), (b",", b";")))
+                     for i in range(n) for end in ends])
 
 
 def _parts(text: str | None) -> Iterator[list[str]]:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.common import materialise
+from textlens.llm.segments import Memo
 from textlens.session import ship_package
 
 WINDOW = 2048
@@ -38,8 +39,9 @@ def encoder(name: str = TOKENIZER):
     """``encode(text) -> ids`` of a public tokenizer file (one per process).
 
     Byte-level BPE files that also exist as ranks are run by the faster of the
-    two libraries; texts that hold a special token's string go to the library
-    of the file itself, the only case in which the two differ."""
+    two libraries, each segment of a text once; texts that hold a special
+    token's string go to the library of the file itself, the only case in
+    which the two differ."""
     if name not in _ENCODERS:
         import base64
 
@@ -59,11 +61,10 @@ def encoder(name: str = TOKENIZER):
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             quick = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
+            memo = Memo(quick.encode_ordinary)
 
             def encode(text: str) -> np.ndarray:
-                if SPECIAL in text:
-                    return slow(text)
-                return quick.encode_to_numpy(text, disallowed_special=())
+                return slow(text) if SPECIAL in text else memo.ids(text)
 
         _ENCODERS[name] = encode
     return _ENCODERS[name]
