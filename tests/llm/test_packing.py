@@ -36,3 +36,21 @@ def test_scores_count_all_tokens_of_the_seed():
     index.drop(free)
     want = [bm25(rests[4], r) * f for r, f in zip(rests, free)]
     assert index.scores(4) == pytest.approx(want)
+
+
+def test_frequencies_counted_while_tokenizing(spark):
+    docs = spark.createDataFrame([(i if i % 3 else None, t) for i, t in enumerate(
+        ["the cat", None, "", "the the dog", "<|endoftext|> cat", "long " * 3000] * 40)], "doc_id long, text string")
+    tokens = packing.tokenize(docs.repartition(3), counts=True).persist()
+    try:
+        plain = packing.tokenize(docs)
+        assert packing.token_statistics(tokens) == packing.token_statistics(plain)
+        rows = tokens.where("ids IS NOT NULL").select("doc_id", "ids")
+        assert rows.exceptAll(plain).count() == 0 == plain.exceptAll(rows).count()
+        ids = [np.frombuffer(r["ids"], "<u4") for r in plain.collect()]
+        found, n, mean = packing.token_statistics(tokens)
+        assert n == 240 and mean == pytest.approx(np.mean([len(x) % packing.WINDOW for x in ids]))
+        assert found == {t: sum(t in x for x in ids) for t in set(np.concatenate(ids).tolist())}
+    finally:
+        tokens.unpersist()
+    assert packing.token_statistics(packing.tokenize(docs.limit(0), counts=True)) == ({}, 0, 0.0)

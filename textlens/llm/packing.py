@@ -1,8 +1,9 @@
 """Packing documents into fixed windows by lexical retrieval.
 
-1. Texts are tokenized once and written as token ids.
-2. Document frequencies of all tokens over all documents (one row per token of
-   the vocabulary, the bound of what comes back).
+1. Texts are tokenized once and written as token ids, with the tasks' partial
+   document frequencies in a column of their own.
+2. Document frequencies of all tokens over all documents: the sums of that
+   column (one row per token of the vocabulary, the bound of what comes back).
 3. Shards of consecutive documents: whole windows of a long document are
    sequences of their own; the rests go into a BM25 inverted index of the
    shard.  Each unused rest in turn seeds a window and queries the index with
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textlens.llm.common import materialise
-from textlens.llm.segments import Memo
 from textlens.session import ship_package
 
 WINDOW = 2048
@@ -39,9 +39,8 @@ def encoder(name: str = TOKENIZER):
     """``encode(text) -> ids`` of a public tokenizer file (one per process).
 
     Byte-level BPE files that also exist as ranks are run by the faster of the
-    two libraries, each segment of a text once; texts that hold a special
-    token's string go to the library of the file itself, the only case in
-    which the two differ."""
+    two libraries; texts that hold a special token's string go to the library
+    of the file itself, the only case in which the two differ."""
     if name not in _ENCODERS:
         import base64
 
@@ -61,58 +60,98 @@ def encoder(name: str = TOKENIZER):
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             quick = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
-            memo = Memo(quick.encode_ordinary)
 
             def encode(text: str) -> np.ndarray:
-                return slow(text) if SPECIAL in text else memo.ids(text)
+                return slow(text) if SPECIAL in text else np.array(quick.encode_ordinary(text), np.uint32)
 
         _ENCODERS[name] = encode
     return _ENCODERS[name]
 
 
-def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str = TOKENIZER, counts: bool = False) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, ids`` (unsigned 32-bit integers as
-    little-endian bytes, END_ID last).  Null text: END_ID alone."""
+    little-endian bytes, END_ID last).  Null text: END_ID alone.
+
+    With ``counts`` there is a column ``counts``, and each task adds rows that
+    hold nothing but the document frequencies of some of its documents there."""
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        end = np.array([END_ID], dtype="<u4").tobytes()
+        end = np.array([END_ID], dtype="<u4")
+        held = Frequencies()
+        kind = None
         for batch in batches:
+            kind = batch.column(0).type
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [(encode(t).astype("<u4").tobytes() if t else b"") + end for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
+                ids = [np.concatenate([encode(t), end]) if t else end for t in part.column(1).to_pylist()]
+                columns = [part.column(0), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
+                if counts:
+                    held.add(ids)
+                    columns.append(pa.nulls(len(ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        if counts and kind is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([held.packed()], pa.binary())], names=names)
+
+    names = ["doc_id", "ids", "counts"][:3 if counts else 2]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, ids binary")
+    schema = f"doc_id {kind}, ids binary" + (", counts binary" if counts else "")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+class Frequencies:
+    """Document frequencies of tokens, the number of documents (id -1) and
+    the tokens of their rests (id -2)."""
+
+    def __init__(self):
+        self.df = np.zeros(1 << 16, np.int64)
+        self.n = self.rest = 0
+
+    def add(self, documents: list[np.ndarray]) -> None:
+        size = np.array([len(x) for x in documents], np.int64)
+        ids = np.concatenate(documents).astype(np.int64) if documents else np.zeros(0, np.int64)
+        if len(ids):
+            top = int(ids.max()) + 1
+            if top > len(self.df):
+                self.df = np.concatenate([self.df, np.zeros(top - len(self.df), np.int64)])
+            pairs = np.unique(np.repeat(np.arange(len(size)), size) * top + ids)  # each token once a document
+            self.df[:top] += np.bincount(pairs % top, minlength=top)
+        self.n += len(size)
+        self.rest += int((size % WINDOW).sum())
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(self.df)
+        return np.r_[used, -1, -2], np.r_[self.df[used], self.n, self.rest]
+
+    def packed(self) -> bytes:
+        return np.stack(self.rows()).astype("<i8").tobytes()
 
 
 def token_statistics(tokens: DataFrame) -> tuple[dict[int, int], int, float]:
     """Document frequency per token id, number of documents and mean length
-    of their rests, over all documents.  At most one row per token of the
+    of their rests, over all documents; from the column ``counts``, where the
+    table has it, else from the ids.  At most one row per token of the
     vocabulary comes back."""
+    column = "counts" if "counts" in tokens.columns else "ids"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(1 << 16, np.int64)
-        seen = np.zeros(1 << 16, bool)
-        n = rest = 0
+        held = Frequencies()
         for batch in batches:
+            if column == "ids":
+                for at in range(0, batch.num_rows, 500):
+                    held.add([np.frombuffer(x.as_buffer(), dtype="<u4") for x in batch.column(0).slice(at, 500)])
+                continue
             for x in batch.column(0):
-                ids = np.frombuffer(x.as_buffer(), dtype="<u4")
-                if len(ids) and int(ids.max()) >= len(df):
-                    more = np.zeros(int(ids.max()) + 1 - len(df), np.int64)
-                    df, seen = np.concatenate([df, more]), np.concatenate([seen, more.astype(bool)])
-                seen[ids] = True
-                one = np.flatnonzero(seen) if len(ids) > 4096 else np.unique(ids)
-                df[one] += 1
-                seen[ids] = False
-                n += 1
-                rest += len(ids) % WINDOW
-        used = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[used, -1, -2]), pa.array(np.r_[df[used], n, rest])], names=["id", "n"])
-
-    rows = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+                ids, n = np.frombuffer(x.as_buffer(), dtype="<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+        if column == "ids":
+            ids, n = held.rows()
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
+
+    rows = tokens.select(column).where(F.col(column).isNotNull()).mapInArrow(run, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n")).collect()
     found = {r["id"]: r["n"] for r in rows}
     n, rest = found.pop(-1, 0), found.pop(-2, 0)
     return found, n, rest / max(n, 1)
@@ -282,7 +321,7 @@ def pack_tokens(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
             yield from shard()
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "ids").mapInArrow(
+    return tokens.select("doc_id", "ids").where(F.col("ids").isNotNull()).mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
@@ -293,7 +332,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WI
 
     A null or empty text is a document of END_ID alone.  Repeated rows are
     documents of their own.  An empty table gives no rows."""
-    return pack_tokens(materialise(tokenize(docs, tokenizer), "pack-tokens", "zstd"), window)
+    return pack_tokens(materialise(tokenize(docs, tokenizer, counts=True), "pack-tokens", "zstd"), window)
 
 
 def pack_query(docs: DataFrame) -> DataFrame:

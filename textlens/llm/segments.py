@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
-from itertools import chain
-
-import numpy as np
 
 # The White_Space characters of Unicode other than the space.
 WHITE = "".join(map(chr, (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
@@ -15,23 +11,3 @@ WHITE = "".join(map(chr, (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000,
 #: white space.  The tokenizers' pattern never matches over such a place, as a
 #: space is in it only at a word's start or among white space.
 SEGMENT = re.compile(f" *[^ ]+(?:(?<=[{WHITE}]) +[^ ]*)*| +")
-
-
-class Memo(dict):
-    """segment -> token ids, encoded when first met.  Long segments are not
-    kept; a full memory starts over."""
-
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 300_000, longest: int = 100):
-        super().__init__()
-        self.encode, self.most, self.longest = encode, most, longest
-
-    def __missing__(self, segment: str) -> list[int]:
-        ids = self.encode(segment)
-        if len(segment) <= self.longest:
-            if len(self) >= self.most:
-                self.clear()
-            self[segment] = ids
-        return ids
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, SEGMENT.findall(text))), np.uint32)
