@@ -48,6 +48,8 @@ ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|3(?:0|6|8)|35)"
 LABELERS = ("pattern", "check", "gazetteer", "context", "edges")
 #: Characters of context on the left of a span.
 CONTEXT = 40
+#: Characters of the blocks that a text is redacted in.
+BLOCK = 4096
 ACCEPT = 0.9
 
 
@@ -74,6 +76,25 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
+def running(values: Column, start: Column, combine, part: int = 128) -> Column:
+    """What ``combine`` makes of ``start`` and the values before each one.
+    Arrays grow by copying, so values are folded in parts and the parts' ends
+    in turn: the work is a bounded multiple of the values' number up to some
+    ``part`` squared of them."""
+    def fold(items: Column, first: Column) -> Column:
+        zero = F.struct(first.alias("at"), F.filter(F.array(first), lambda _: F.lit(False)).alias("out"))
+        return F.aggregate(items, zero, lambda acc, x: F.struct(
+            combine(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+
+    def all_of(v: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / part).cast("int"))
+        parts = F.transform(places, lambda i: F.slice(v, i * part + 1, F.lit(part)))
+        ends = F.transform(parts, lambda p: F.aggregate(p, start, combine))
+        return F.when(F.size(v) <= part, fold(v, start)).otherwise(F.flatten(F.zip_with(parts, fold(ends, start), fold)))
+
+    return let(values, all_of)
+
+
 def _matches(text: Column, pattern: str, trigger: str, make) -> Column:
     """Array of ``make(start, span, before, after)`` over the leftmost
     non-overlapping matches; start in code points.
@@ -85,15 +106,9 @@ def _matches(text: Column, pattern: str, trigger: str, make) -> Column:
         gaps, spans = pair["gaps"], pair["spans"]
         sized = F.transform(spans, lambda s, i: F.struct(
             F.get(gaps, i).alias("gap"), s.alias("span"), F.get(gaps, i + 1).alias("next")))
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-        starts = F.aggregate(
-            sized, zero,
-            lambda acc, x: F.struct(
-                (acc["at"] + F.length(x["gap"]) + F.length(x["span"])).alias("at"),
-                F.array_append(acc["starts"], acc["at"] + F.length(x["gap"])).alias("starts")),
-            lambda acc: acc["starts"])
-        return let(starts, lambda st: F.transform(sized, lambda x, i: make(
-            F.get(st, i), x["span"], x["gap"], x["next"])))
+        steps = F.transform(sized, lambda x: F.length(x["gap"]) + F.length(x["span"]))
+        return let(running(steps, F.lit(0), lambda a, x: a + x), lambda st: F.transform(sized, lambda x, i: make(
+            F.get(st, i) + F.length(x["gap"]), x["span"], x["gap"], x["next"])))
 
     found = let(F.struct(F.split(text, pattern).alias("gaps"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("spans")), of)
@@ -199,23 +214,34 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 def redact(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; where spans
-    overlap, the one that starts first (in KINDS order) names the whole."""
+    overlap, the one that starts first (in KINDS order) names the whole.  The
+    text is cut into blocks once, and each gap between spans reads its own
+    blocks, so the work grows with the text and the spans, not their product."""
     tags = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        part = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(tags, s["kind"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(fresh, F.array_append(acc["out"], part)).otherwise(acc["out"]).alias("out"))
+    def between(blocks: Column, a: Column, b: Column) -> Column:
+        i, j = F.floor(a / BLOCK).cast("int"), F.floor((b - 1) / BLOCK).cast("int")
+        one = F.substring(F.get(blocks, i), a - i * BLOCK + 1, b - a)
+        many = F.concat(F.substring(F.get(blocks, i), a - i * BLOCK + 1, F.lit(BLOCK)),
+                        F.array_join(F.slice(blocks, i + 2, j - i - 1), ""),
+                        F.substring(F.get(blocks, j), F.lit(1), b - j * BLOCK))
+        return F.when(a >= b, F.lit("")).when(i == j, one).otherwise(many)
+
+    def joined(blocks: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        done = running(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+        pieces = let(done, lambda at: F.transform(spans, lambda s, i: F.when(s["start"] >= F.get(at, i), F.concat(
+            between(blocks, F.get(at, i), s["start"]), F.get(tags, s["kind"]))).otherwise(F.lit(""))))
+        return F.concat(F.array_join(pieces, ""), between(blocks, F.array_max(ends), F.length(text)))
 
-    return let(F.aggregate(spans, zero, step), lambda r: F.concat(
-        F.array_join(r["out"], ""), F.substring(text, r["at"] + 1, F.length(text))))
+    return let(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0)), joined)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text``; ``n_chars``, where
-    there is one, follows a changed text.  Other columns stay."""
+    there is one, follows a changed text.  Other columns stay.  Null and
+    empty texts and repeated rows stay as they are, row for row; an empty
+    table gives no rows."""
     codes = accepted_codes(docs.select(candidates(F.col("text")).alias("__c")))
     text = F.col("text")
     new = let(chosen(candidates(text), codes), lambda s: F.when(F.size(s) > 0, redact(text, s)).otherwise(text))
@@ -233,9 +259,9 @@ def redact_documents(docs: DataFrame) -> DataFrame:
 
 
 def pii_query(docs: DataFrame) -> DataFrame:
+    """Counts and digests of ``find_pii``, one row per row of ``docs``."""
     found = find_pii(docs)
 
-
     def count(i: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
 

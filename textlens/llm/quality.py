@@ -142,14 +142,31 @@ def quality_rules(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     (~F.col("base_failed") & (F.col("p_good") >= threshold)).alias("kept")))
 
 
+def _vote_code(q: Column) -> Column:
+    """The votes as one number, a digit 0, 1 or 2 (abstains) per rule; -1 for
+    texts that the base rules reject."""
+    code = sum((F.coalesce(v, F.lit(2)) * 3 ** i for i, v in enumerate(votes(q).values())), F.lit(0))
+    return F.when(base_failed(q), -1).otherwise(code)
+
+
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they are.
-    Texts are read twice (model, filter) rather than shuffled or stored."""
+    """The rows of ``docs`` that the rules keep, all columns as they are; rows
+    with a null or empty text fall, repeated rows are judged alike, an empty
+    table gives no rows.
+
+    Texts are read twice (model, filter) rather than shuffled or stored.  The
+    first pass has no filter, which would be evaluated below the statistics
+    and compute them again: rejected texts get a code of their own."""
     of = statistics(F.col("text"))
-    model = fit_quality(docs.select(let(of, _vote_struct).alias("__v")))
+    counted = docs.select(let(of, _vote_code).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialise(counted, "quality-codes").where("code >= 0")
+    digits = {k: F.floor(F.col("code") / 3 ** i) % 3 for i, k in enumerate(RULES)}
+    patterns = counted.select("n", *(F.when(d < 2, d).cast("int").alias(k) for k, d in digits.items()))
+    model = fit_votes(patterns, list(RULES), prior=PRIOR, start=START, most_miss=MOST_MISS)
     return docs.where(let(of, lambda q: ~base_failed(q) & (model.posterior(votes(q)) >= threshold)))
 
 
 def quality_query(docs: DataFrame) -> DataFrame:
+    """Statistics and verdicts of ``quality_rules``, one row per row of ``docs``."""
     return quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
