@@ -463,6 +463,25 @@ def q_request_answers(spark, sf_dir):
                     F.col("spell_check.corrected_query").alias("corrected"))
 
 
+# Type of a JSON answer as far as it is read back.
+ANSWER = ("query_id long, results_count int, status string, error string, spell_check struct<corrected_query:string>, "
+          "results array<struct<rank:int,document_id:long,similarity_score:double,content_preview:string>>")
+
+
+def q_json_answers(spark, sf_dir):
+    """JSON answers to requests of all kinds, written as lines and read back:
+    a row per hit, or one with nulls for an answer without hits."""
+    path = _stream_dir(spark, "answers")
+    res = search_with_spelling(tfidf_index(spark, sf_dir), spell_dictionary(spark, sf_dir),
+                               request_table(spark, sf_dir), dict_keys=spell_keys(spark, sf_dir))
+    results_json(res.requests, res.results).select("json").write.text(path)
+    back = spark.read.schema(ANSWER).json(path)
+    return back.select("query_id", "status", "error", F.col("spell_check.corrected_query").alias("corrected"),
+                       "results_count", F.explode_outer("results").alias("r")).select(
+        "query_id", "status", "error", "corrected", "results_count", "r.rank", "r.document_id", "r.similarity_score",
+        "r.content_preview")
+
+
 def q_stream_search_requests(spark, sf_dir):
     """The same requests as a stream of files through validation, spell check
     and search."""
@@ -625,6 +644,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_file": q_corpus_file,
     "search_requests": q_search_requests,
     "request_answers": q_request_answers,
+    "json_answers": q_json_answers,
     "stream_search_requests": q_stream_search_requests,
     "corrected_text": q_corrected_text,
     "result_log": q_result_log,

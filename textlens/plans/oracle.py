@@ -399,6 +399,11 @@ q AS (SELECT c.query_id, CASE WHEN c.auto_correct AND k.has_errors THEN k.correc
              CAST(c.top_k AS INTEGER) AS k, k.has_errors, k.corrected
       FROM checked c JOIN chk k USING (query_id))"""
 
+ANSWERS = "WITH " + TFIDF + ",\n" + REQUESTS + r"""
+SELECT c.query_id, CASE WHEN c.error IS NULL THEN 'success' ELSE 'invalid' END AS status, c.error,
+       CAST(q.k AS INTEGER) AS top_k, q.query_text AS search_query, CASE WHEN q.has_errors THEN q.corrected END AS corrected
+FROM checked c LEFT JOIN q USING (query_id)"""
+
 # Word vectors by rule (see the query): the sums that cosine and mean need.
 RULE_VECTORS = r"""
 btok AS (SELECT item_id, unnest(t) AS word, unnest(generate_series(1, len(t))) AS pos
@@ -425,10 +430,13 @@ SELECT text, count(*) AS n FROM (
 WHERE length(text) > 50 GROUP BY text""",
     "search_requests": search_sql(REQUESTS, "k"),
     "stream_search_requests": search_sql(REQUESTS, "k"),
-    "request_answers": "WITH " + TFIDF + ",\n" + REQUESTS + r"""
-SELECT c.query_id, CASE WHEN c.error IS NULL THEN 'success' ELSE 'invalid' END AS status, c.error,
-       CAST(q.k AS INTEGER) AS top_k, q.query_text AS search_query, CASE WHEN q.has_errors THEN q.corrected END AS corrected
-FROM checked c LEFT JOIN q USING (query_id)""",
+    "request_answers": ANSWERS,
+    "json_answers": "SELECT a.query_id, a.status, a.error, a.corrected, "
+    "CAST(count(h.doc_id) OVER (PARTITION BY a.query_id) AS INTEGER) AS results_count, "
+    "h.rank, h.doc_id AS document_id, h.score AS similarity_score, CASE WHEN h.doc_id IS NOT NULL THEN "
+    "CASE WHEN coalesce(c.text, '') = '' THEN 'Content not available' ELSE substr(c.text, 1, 200) END END AS content_preview "
+    "FROM (" + ANSWERS + ") a LEFT JOIN (" + search_sql(REQUESTS, "k") + ") h USING (query_id) LEFT JOIN ("
+    "SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS text FROM documents) c ON c.doc_id = h.doc_id",
     "word_similarity_rule": "WITH " + RULE_VECTORS + r""",
 pairs AS (SELECT DISTINCT a.word AS word1, b.word AS word2 FROM btok a JOIN btok b
           ON a.item_id = b.item_id AND b.pos = a.pos + 1)
