@@ -433,14 +433,14 @@ def q_corpus_file(spark, sf_dir):
 
 def request_table(spark, sf_dir) -> DataFrame:
     """Requests of all kinds: whole conversation turns as queries (every 17th
-    too short, every 19th said forty times over; turns above the longest query
+    too short, every 23rd said forty times over; turns above the longest query
     are rejected as too long), k from
     the turn number, some out of range or no number, correction on and off."""
     c = table(spark, sf_dir, "conversations")
     n = F.col("conv_id") * 1000 + F.col("turn")
     k = (F.when(n % 11 == 0, F.lit("x")).when(n % 13 == 0, F.repeat(F.lit("9"), F.lit(45)))
          .otherwise((n % 7).cast("string")))
-    text = F.when(n % 19 == 0, F.repeat(F.concat("text", F.lit(" ")), 40)).otherwise(F.col("text"))
+    text = F.when(n % 23 == 0, F.repeat(F.concat("text", F.lit(" ")), 40)).otherwise(F.col("text"))
     text = F.regexp_replace(text, r"(^|\s)(\p{L})\p{L}(\p{L}{4,})", "$1$2$3")
     return c.where("role = 'user'").select(
         n.alias("query_id"), F.when(n % 17 == 0, F.substring(text, 1, 1)).otherwise(text).alias("query_text"),

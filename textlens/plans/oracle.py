@@ -375,7 +375,7 @@ g /b/c/g|./g /b/c/g|g/ /b/c/g/|/g /g|?y /b/c/d;p?y|g?y /b/c/g?y|#s /b/c/d;p?q#s|
 
 REQUESTS = r"""rq AS (
   SELECT conv_id * 1000 + turn AS n,
-         regexp_replace(CASE WHEN (conv_id * 1000 + turn) % 19 = 0 THEN repeat(text || ' ', 40) ELSE text END,
+         regexp_replace(CASE WHEN (conv_id * 1000 + turn) % 23 = 0 THEN repeat(text || ' ', 40) ELSE text END,
                         '(^|\s)(\pL)\pL(\pL{4,})', '\1\2\3', 'g') AS t
   FROM conversations WHERE role = 'user'
 ),
