@@ -56,7 +56,7 @@ DRIFT = 0.5
 SIGNIFICANT = 0.01
 THRESHOLD = 0.7
 #: Texts above this many characters are read word by word; words remembered.
-LONG_TEXT, MEMO = 1 << 20, 500_000
+LONG_TEXT, MEMO = 1 << 20, 200_000
 
 
 def words(text: str) -> Iterator[str]:
