@@ -13,7 +13,7 @@ from textlens.operators.postings import (approximate_terms, build_postings, docu
                                          nest_postings, postings_text, term_sketches)
 from textlens.operators.search import search, with_preview
 from textlens.operators.status import corpus_ready, health
-from textlens.sources.logs import results_csv, results_json, write_logs
+from textlens.sources.logs import read_query_log, read_result_log, results_csv, results_json, write_logs
 from textlens.session import checkpoint_dir
 from textlens.streaming.pages import start_page_stream
 from textlens.streaming.queries import start_query_stream
@@ -485,6 +485,11 @@ def q_json_answers(spark, sf_dir):
 def q_stream_search_requests(spark, sf_dir):
     """The same requests as a stream of files through validation, spell check
     and search."""
+    base = _run_request_stream(spark, sf_dir)
+    return spark.read.parquet(f"{base}/out/results").select("query_id", "rank", "doc_id", "score")
+
+
+def _run_request_stream(spark, sf_dir) -> str:
     base = _stream_dir(spark, "requests")
     req = request_table(spark, sf_dir)
     req.write.parquet(f"{base}/in")
@@ -492,7 +497,15 @@ def q_stream_search_requests(spark, sf_dir):
                            tfidf_index(spark, sf_dir), f"{base}/out", f"{base}/checkpoint",
                            dictionary=spell_dictionary(spark, sf_dir), dict_keys=spell_keys(spark, sf_dir))
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/results").select("query_id", "rank", "doc_id", "score")
+    return base
+
+
+def q_stream_request_log(spark, sf_dir):
+    """The stream's CSV logs read back: accepted requests with their original
+    text, and their hits."""
+    base = _run_request_stream(spark, sf_dir)
+    hits = read_result_log(spark, f"{base}/out/result_log")
+    return read_query_log(spark, f"{base}/out/queries").join(hits, "query_id")
 
 
 def q_corrected_text(spark, sf_dir):
@@ -507,9 +520,7 @@ def q_result_log(spark, sf_dir):
     path = _stream_dir(spark, "logs")
     requests = bench_queries(spark, sf_dir)
     write_logs(requests, search(tfidf_index(spark, sf_dir), requests, 5), path)
-    queries = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{path}/queries")
-    hits = spark.read.option("header", True).schema("query_id long, rank int, document_id long").csv(f"{path}/results")
-    return hits.join(queries.select(F.col("query_id").cast("long").alias("query_id"), "query_text"), "query_id")
+    return read_result_log(spark, f"{path}/results").join(read_query_log(spark, f"{path}/queries"), "query_id")
 
 
 def q_postings_ascii(spark, sf_dir):
@@ -646,6 +657,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_answers": q_request_answers,
     "json_answers": q_json_answers,
     "stream_search_requests": q_stream_search_requests,
+    "stream_request_log": q_stream_request_log,
     "corrected_text": q_corrected_text,
     "result_log": q_result_log,
     "postings_ascii": q_postings_ascii,

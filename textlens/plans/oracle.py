@@ -430,6 +430,9 @@ SELECT text, count(*) AS n FROM (
 WHERE length(text) > 50 GROUP BY text""",
     "search_requests": search_sql(REQUESTS, "k"),
     "stream_search_requests": search_sql(REQUESTS, "k"),
+    "stream_request_log": "SELECT r.query_id, c.query_text, r.rank, r.doc_id AS document_id FROM ("
+    + search_sql(REQUESTS, "k") + ") r JOIN (WITH " + TFIDF + ",\n" + REQUESTS
+    + "\nSELECT query_id, query_text FROM checked WHERE error IS NULL) c USING (query_id)",
     "request_answers": ANSWERS,
     "json_answers": "SELECT a.query_id, a.status, a.error, a.corrected, "
     "CAST(count(h.doc_id) OVER (PARTITION BY a.query_id) AS INTEGER) AS results_count, "

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textlens.operators.search import search
 from textlens.operators.tfidf import TfidfIndex
 from textlens.plans.search_service import search_with_spelling
-from textlens.sources.logs import query_log, result_log
+from textlens.sources.logs import CSV, query_log, result_log
 
 
 def start_query_stream(spark: SparkSession, source: str, schema: str, index: TfidfIndex, out: str,
@@ -50,10 +50,9 @@ def start_query_stream(spark: SparkSession, source: str, schema: str, index: Tfi
                 hits = search(index, batch, k)
             hits.select("query_id", "rank", "doc_id", "score").write.mode("overwrite").parquet(
                 f"{out}/results/{place}")
-            query_log(accepted).write.mode("overwrite").option("header", True).option("escape", "\"").csv(
-                f"{out}/queries/{place}")
-            result_log(spark.read.parquet(f"{out}/results/{place}")).write.mode("overwrite").option(
-                "header", True).csv(f"{out}/result_log/{place}")
+            query_log(accepted).write.mode("overwrite").options(**CSV).csv(f"{out}/queries/{place}")
+            result_log(spark.read.parquet(f"{out}/results/{place}")).write.mode("overwrite").options(**CSV).csv(
+                f"{out}/result_log/{place}")
         finally:
             batch.unpersist()
 
