@@ -574,7 +574,7 @@ def q_stream_index(spark, sf_dir):
 def q_similar_words_factors(spark, sf_dir):
     """Most similar words by vectors of the factorised co-occurrences."""
     words = _bench_tokens(spark, sf_dir).select(F.explode("tokens").alias("word")).distinct()
-    return similar_words(words, factorise_words(doc_tokens(spark, sf_dir), 32, max_iter=4), 5)
+    return similar_words(words, factorise_words(doc_tokens(spark, sf_dir), 24, window=3, max_iter=3), 5)
 
 
 def rule_word_table(spark, sf_dir) -> DataFrame:
