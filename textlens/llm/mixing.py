@@ -127,6 +127,8 @@ def mix_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def mix_query(docs: DataFrame) -> DataFrame:
+    """The plan of ``plan_mix``, one row per row of ``docs``; see there for
+    nulls, ties and empty tables."""
     return plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -336,5 +336,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WI
 
 
 def pack_query(docs: DataFrame) -> DataFrame:
+    """The pieces of ``pack_documents`` with a digest of their ids; see there
+    for null texts, repeated rows and empty tables."""
     return pack_documents(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -471,4 +471,6 @@ def _arrow_schema(id_type: pa.DataType) -> pa.Schema:
 
 
 def repeats_query(docs: DataFrame) -> DataFrame:
+    """What ``repeated_spans`` removes, one row per row of ``docs``; see there
+    for null texts, repeated rows and empty tables."""
     return repeated_spans(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -134,6 +134,8 @@ def archive_records(pages: DataFrame) -> DataFrame:
 
 
 def revisits_query(pages: DataFrame) -> DataFrame:
+    """Records derived from ``pages`` after ``resolve_revisits``; see there for
+    nulls, ties and empty tables."""
     out = resolve_revisits(archive_records(pages))
     lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
     return out.select("record_id", "canonical", "source_id", "outcome",

@@ -233,5 +233,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int =
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:
+    """Fingerprints and components of ``near_duplicates``, one row per row of
+    ``docs``; see there for null texts and ids, repeated rows and empty tables."""
     return near_duplicates(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -137,4 +137,6 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def url_query(pages: DataFrame) -> DataFrame:
+    """Verdicts of ``filter_urls``, one row per row of ``pages``; see there for
+    null URLs, repeated rows and empty tables."""
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
