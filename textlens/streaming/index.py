@@ -25,7 +25,9 @@ def write_segment(docs: DataFrame, out: str, segment: str, stop_words=ENGLISH_ST
     """One segment of (doc_id, text) documents, replacing an earlier one of
     the same name."""
     place = {p: f"{out}/{p}/segment={segment}" for p in PARTS}
-    docs.select("doc_id", "text").write.mode("overwrite").parquet(place["documents"])
+    # a batch may be one file: its texts are dealt to all cores first
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    docs.select("doc_id", "text").repartition(cores).write.mode("overwrite").parquet(place["documents"])
     held = docs.sparkSession.read.schema(docs.select("doc_id", "text").schema).parquet(place["documents"])
     terms = term_column(held, "text", stop_words, bigrams)
     term_statistics(terms).write.mode("overwrite").parquet(place["terms"])
