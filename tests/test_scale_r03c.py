@@ -90,7 +90,7 @@ def test_pairs_are_stored_once_and_as_numbers(spark):
     before = stored_bytes(spark)
     assert factorise_words(tokens, vector_size=2, window=3, max_iter=1).count() > 3900
     new = sum(n for f, n in stored_bytes(spark).items() if f not in before)
-    assert new < 16 * pairs  # 12 of them the ratings; 40 before, with the words of each pair three times
+    assert new < 16 * pairs  # a rating has 12; before, the words of each pair were stored twice besides
 
 
 def test_shuffle_files_go_and_the_setting_is_put_back(spark):
@@ -100,5 +100,5 @@ def test_shuffle_files_go_and_the_setting_is_put_back(spark):
     with word_factors.released_files(spark):
         numbered_associations(stored, 3)
         left = {f for f in glob.glob("/tmp/blockmgr-*/**/shuffle_*.data", recursive=True)} - root
-    assert len(left) <= 8  # counts that were not written; 50 and more without
+    assert len(left) <= 8  # those of counts that are collected, not written
     assert spark.conf.get(word_factors.CLEANUP, None) == held
