@@ -94,11 +94,17 @@ def test_pairs_are_stored_once_and_as_numbers(spark):
 
 
 def test_shuffle_files_go_and_the_setting_is_put_back(spark):
-    root = {f for f in glob.glob("/tmp/blockmgr-*/**/shuffle_*.data", recursive=True)}
+    # this session's folders only: others may run beside it
+    own = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {f for d in own for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+    root = files()
     held = spark.conf.get(word_factors.CLEANUP, None)
     stored = write_table(texts(spark, random_rows(200, 500, 60)).select("tokens"), "tokens")
     with word_factors.released_files(spark):
         numbered_associations(stored, 3)
-        left = {f for f in glob.glob("/tmp/blockmgr-*/**/shuffle_*.data", recursive=True)} - root
+        left = files() - root
     assert len(left) <= 8  # those of counts that are collected, not written
     assert spark.conf.get(word_factors.CLEANUP, None) == held
