@@ -191,6 +191,19 @@ def test_url_model_equals_plain_counts(spark):
         assert got[u] == pytest.approx(total / (len(u) + 1))
 
 
+def test_url_grams_are_not_sent_through_the_driver(spark):
+    """A stored table of URLs is small, its n-grams are many times its size."""
+    urls = spark.range(300).selectExpr("concat('http://a', id, '.org/fr/', id) AS url", "id % 3 AS good", "1L AS bad")
+    scores = urlfilter.log_ratios(urlfilter.materialise(urls, "test-urls"))
+    assert len(scores.collect()) == 300
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    judged = urlfilter.filter_urls(pages)
+    assert len(judged.collect()) == len(URLS)
+    for df in (scores, judged):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_url_model_generalises(spark):
     good = [f"http://site{i}.library.example/books/{i}" for i in range(200)]
     bad = [f"http://casino{i}.spam.example/win-{i}-now" for i in range(200)]
