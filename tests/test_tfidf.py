@@ -217,3 +217,28 @@ def test_text_ids_and_repeated_ids(spark):
     q = spark.createDataFrame([(1, "alpha"), (2, "")], "query_id int, query_text string")
     rows = [(r["query_id"], r["rank"], r["doc_id"]) for r in search(idx, q, 2).orderBy("query_id", "rank").collect()]
     assert rows == [(1, 1, "a"), (1, 2, "b"), (2, 1, "a"), (2, 2, "b")]
+
+
+def test_helper_counts_and_weighs_as_spark_does(spark, monkeypatch):
+    """Terms, their counts and a document's weights, to the last bit."""
+    import pyarrow as pa
+
+    from textlens.operators import tfidf
+
+    odd = ["Äpfel  äpfel and_pears x y2 a1 I\u0130stanbul", "", None, "  ", "the of and", "a b c", "tab\tnew\nline\x85next\u2028end",
+           "\u0967\u0968\u0969 \U0001d400\U0001d401 \U0001d402 ab\u0301cd \x00nul\x00byte", "same same same same", "one two one two one",
+           "\u4f60\u597d\u4e16\u754c \u00bd\u00bd mid\u00b7dot don't e-mail", " ".join(f"w{i % 37}" for i in range(900))]
+    docs = spark.createDataFrame(list(enumerate(odd * 3)), "doc_id long, text string").repartition(3)
+    for bigrams, stops in ((True, tfidf.ENGLISH_STOP_WORDS), (False, ()), (True, ("same",))):
+        terms = tfidf.term_column(docs.na.fill(""), "text", stops, bigrams).select("doc_id", "terms")
+        want = sorted(tfidf.term_statistics(terms).collect(), key=str)
+        vocab = tfidf.choose_vocabulary(tfidf.term_statistics(terms), docs.count(), 60).persist()
+        n = vocab.count()
+        weights = sorted(tfidf.weigh(terms, vocab, n).collect())
+        assert sum(len(r["ids"]) for r in weights) > 20
+        assert sorted(tfidf.text_statistics(docs, "text", stops, bigrams).collect(), key=str) == want
+        assert sorted(tfidf.weigh_documents(docs, vocab, n, stops, bigrams).collect()) == weights
+    batch = pa.record_batch([pa.array(odd)], names=["text"])
+    monkeypatch.setattr(tfidf, "BLOCK_BYTES", 20)
+    cut = list(tfidf._blocks([batch]))
+    assert 5 < len(cut) < len(odd) and pa.Table.from_batches(cut)["text"].to_pylist() == odd

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textlens.functions.words import ENGLISH_STOP_WORDS
 from textlens.operators.common import write_table
 from textlens.operators.postings import build_postings
-from textlens.operators.tfidf import TfidfIndex, choose_vocabulary, term_column, term_statistics, weigh
+from textlens.operators.tfidf import TfidfIndex, choose_vocabulary, text_statistics, weigh_documents
 from textlens.sources.corpus import corpus_from_table
 
 PARTS = ("documents", "terms", "postings")
@@ -29,8 +29,7 @@ def write_segment(docs: DataFrame, out: str, segment: str, stop_words=ENGLISH_ST
     cores = docs.sparkSession.sparkContext.defaultParallelism
     docs.select("doc_id", "text").repartition(cores).write.mode("overwrite").parquet(place["documents"])
     held = docs.sparkSession.read.schema(docs.select("doc_id", "text").schema).parquet(place["documents"])
-    terms = term_column(held, "text", stop_words, bigrams)
-    term_statistics(terms).write.mode("overwrite").parquet(place["terms"])
+    text_statistics(held, "text", stop_words, bigrams).write.mode("overwrite").parquet(place["terms"])
     build_postings(held).write.mode("overwrite").parquet(place["postings"])
 
 
@@ -73,7 +72,7 @@ def index_of_segments(spark: SparkSession, out: str, max_features: int | None =
     vocab = write_table(choose_vocabulary(stats, total["df"], max_features, min_df, max_df), "tfidf-vocabulary")
     docs = spark.read.parquet(f"{out}/documents").select("doc_id", "text")
     n_terms = vocab.count()
-    terms = term_column(docs, "text", stop_words, bigrams).select("doc_id", "terms")
-    return TfidfIndex(docs=docs, vocab=vocab, vectors=write_table(weigh(terms, vocab, n_terms), "tfidf-vectors"),
+    vectors = weigh_documents(docs, vocab, n_terms, stop_words, bigrams)
+    return TfidfIndex(docs=docs, vocab=vocab, vectors=write_table(vectors, "tfidf-vectors"),
                       n_docs=total["df"], stop_words=tuple(stop_words), bigrams=bigrams, max_features=max_features,
                       n_terms=n_terms)
