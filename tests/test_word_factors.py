@@ -72,3 +72,23 @@ def test_numbers_without_gaps(spark):
     df = spark.range(1000).select(F.concat(F.lit("w"), F.col("id") % 600).alias("word")).distinct()
     got = {r["word"]: r["n"] for r in number_rows(df, "word", "n").collect()}
     assert got == {w: i for i, w in enumerate(sorted(got))} and len(got) == 600
+
+
+def test_blocks_of_the_factorisation_do_not_grow_with_the_table(spark, monkeypatch):
+    from textlens.operators import word_factors
+
+    asked = []
+    made = word_factors.ALS
+
+    def als(**settings):
+        asked.append((settings["numUserBlocks"], settings["numItemBlocks"], settings["intermediateStorageLevel"]))
+        return made(**settings)
+
+    monkeypatch.setattr(word_factors, "ALS", als)
+    monkeypatch.setattr(word_factors, "BLOCK_RATINGS", 5, raising=False)
+    rnd = random.Random(3)
+    rows = [[rnd.choice("abcdefghijklmnop") * 2 for _ in range(8)] for _ in range(60)]
+    vectors = factorise_words(tokens_df(spark, rows), vector_size=2, window=2, max_iter=1).collect()
+    n = associations(cooccurrences(tokens_df(spark, rows), 2)).count()
+    assert n > 10 * spark.sparkContext.defaultParallelism and len(vectors) == 16
+    assert asked == [(-(-n // 5), -(-n // 5), "DISK_ONLY")]
